@@ -113,17 +113,29 @@ def status(prediction: Column) -> Column:
 
 
 def two_decimals(value: Column) -> Column:
-    return F.format_string("%.2f", value.cast("double"))
+    """A number with two decimals; exact halves go to the even digit.
+
+    The double is rounded by its exact binary value: single and rest precision
+    parts times 100 are both exact, so a near half is never taken for a half.
+    """
+    size = F.abs(value.cast("double"))
+    high = size.cast("float").cast("double")
+    scaled, rest = high * 100, (size - high) * 100
+    whole = F.floor(scaled + rest)
+    over = scaled - whole - 0.5
+    up = (over > -rest) | ((over == -rest) & (whole % 2 == 1))
+    digits = whole + up.cast("long")
+    sign = F.when(value < 0, "-").otherwise("")
+    return F.format_string(
+        "%s%d.%02d", sign, F.floor(digits / 100), F.pmod(digits, F.lit(100)))
 
 
 def percent(value: Column) -> Column:
-    return F.format_string("%.2f%%", value.cast("double") * 100)
+    return F.concat(two_decimals(value.cast("double") * 100), F.lit("%"))
 
 
 def message(status_text: Column, confidence: Column) -> Column:
-    return F.format_string(
-        "File is %s with %.2f confidence.", status_text, confidence.cast("double")
-    )
+    return F.format_string("File is %s with %s confidence.", status_text, two_decimals(confidence))
 
 
 def timestamp_text(moment: Column) -> Column:

@@ -96,27 +96,40 @@ def _finding(rule: Rule, line_number: Column, line: Column) -> Column:
     )
 
 
+def _per_line(code: Column, batches: list[list[Rule]], of_batch) -> Column:
+    """What ``of_batch(batch, line, line number)`` gives, flattened over all lines."""
+
+    def of_line(line: Column, at: Column) -> Column:
+        found = [F.when(may_hit(line, b), of_batch(b, line, (at + 1).cast("int"))) for b in batches]
+        return F.flatten(F.array_compact(F.array(*found)))
+
+    return F.flatten(F.transform(text.lines(code), of_line))
+
+
+def _any_rule(code: Column, batches: list[list[Rule]]) -> Column:
+    return F.coalesce(
+        reduce(Column.__or__, (may_hit(code, batch) for batch in batches)), F.lit(False))
+
+
 def findings_column(code: Column, rules: DataFrame | list[Rule] | None = None) -> Column:
     """All findings of a text as an array, ordered by line and then rule."""
     batches = list(rule_batches(rules))
 
-    def of_line(line: Column, at: Column) -> Column:
-        found = [
-            F.when(
-                may_hit(line, batch),
-                F.array_compact(F.array(*[
-                    F.when(rule.matches(line), _finding(rule, (at + 1).cast("int"), line))
-                    for rule in batch
-                ])),
-            )
-            for batch in batches
-        ]
-        return F.flatten(F.array_compact(F.array(*found)))
+    def nested(batch: list[Rule], line: Column, number: Column) -> Column:
+        return F.array_compact(F.array(*[
+            F.when(rule.matches(line), _finding(rule, number, line)) for rule in batch]))
 
-    any_rule = reduce(Column.__or__, (may_hit(code, batch) for batch in batches))
-    nothing = F.array().cast(FINDING_TYPE)
-    nested = F.flatten(F.transform(text.lines(code), of_line)).cast(FINDING_TYPE)
-    return F.when(any_rule, nested).otherwise(nothing)
+    found = _per_line(code, batches, nested).cast(FINDING_TYPE)
+    return F.when(_any_rule(code, batches), found).otherwise(F.array().cast(FINDING_TYPE))
+
+
+def with_danger_count(df: DataFrame, rules: DataFrame | list[Rule] | None = None,
+                      code: str = "code") -> DataFrame:
+    """Add only the number of findings."""
+    batches = list(rule_batches(rules))
+    found = _per_line(F.col(code), batches, lambda batch, line, _: hit_rules(line, batch))
+    counted = F.when(_any_rule(F.col(code), batches), F.size(found)).otherwise(0)
+    return df.withColumn("danger_count", counted)
 
 
 def with_findings(df: DataFrame, rules: DataFrame | list[Rule] | None = None,

@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from codesift import fixed_values as fixed
 from codesift.functions.structure import with_structure
-from codesift.operators.findings import with_findings
+from codesift.operators.findings import with_danger_count, with_findings
 from codesift.operators.rules import Rule
 from codesift.operators.tfidf import fitted_tfidf, vocabulary, with_tokens
 
 
-def prepared(df: DataFrame, rules: DataFrame | list[Rule] | None = None,
-             code: str = "code") -> DataFrame:
-    """Add ``tokens, complexity, ast_depth, findings, danger_count``.
+def prepared(df: DataFrame, rules: DataFrame | list[Rule] | None = None, code: str = "code",
+             nest: bool = True) -> DataFrame:
+    """Add ``tokens, complexity, ast_depth, danger_count`` and, nested, ``findings``.
 
     Every column comes from its own row, so this shuffles nothing. Findings are
-    worked out once; the count is their number.
+    worked out once; the count is their number. Training needs only the count.
     """
-    return with_findings(with_tokens(with_structure(df, code), code), rules, code)
+    rows = with_tokens(with_structure(df, code), code)
+    return with_findings(rows, rules, code) if nest else with_danger_count(rows, rules, code)
 
 
 def fitted_features(train: DataFrame, include_rule_feature: bool = True,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
@@ -21,30 +20,35 @@ from pyspark.sql import functions as F
 
 from codesift import fixed_values as fixed
 from codesift.operators.metrics import best_setting
-from codesift.operators.ranking import learning_curve_rows, train_test_split, with_folds
+from codesift.operators.ranking import learning_curve_rows, with_folds, with_test_flag
 from codesift.operators.samples import balanced
 from codesift.plans.features import fitted_features, prepared, with_class_weight
+from codesift.session import written
 
 # The deepest tree MLlib builds stands for "no limit".
 DEEPEST_TREE = 30
 
 
 def training_table(samples: DataFrame, row_id: str) -> DataFrame:
-    """Balanced, prepared rows with ``label``, narrowed to what models read."""
-    rows = prepared(balanced(samples, row_id))
-    return rows.select(row_id, "tokens", *fixed.STRUCTURE_FEATURES,
-                       F.col("is_vulnerable").cast("double").alias("label"))
+    """Balanced rows with ``label``, what models read, and ``is_test``; written once."""
+    rows = prepared(balanced(samples, row_id), nest=False).select(
+        row_id, "tokens", *fixed.STRUCTURE_FEATURES,
+        F.col("is_vulnerable").cast("double").alias("label"))
+    # The split is drawn over the written rows, so features are worked out once.
+    return with_test_flag(written(rows, "training"), row_id)
 
 
 def split_features(samples: DataFrame, row_id: str,
                    include_rule_feature: bool = True) -> tuple[DataFrame, DataFrame,
                                                                PipelineModel, list[str]]:
     """Train and test rows with ``features``; the vocabulary comes from train alone."""
-    table = training_table(samples, row_id).persist(StorageLevel.MEMORY_AND_DISK)
-    train, test = train_test_split(table, row_id)
-    model, names = fitted_features(train, include_rule_feature)
-    kept = [row_id, "label", "features"]
-    return model.transform(train).select(*kept), model.transform(test).select(*kept), model, names
+    table = training_table(samples, row_id)
+    model, names = fitted_features(table.filter(~F.col("is_test")), include_rule_feature)
+    vectors = written(
+        model.transform(table).select(row_id, "label", "features", "is_test"), "features")
+    train = vectors.filter(~F.col("is_test")).drop("is_test")
+    test = vectors.filter("is_test").drop("is_test")
+    return train, test, model, names
 
 
 def forest(trees: int = 100, depth: int | None = None, min_split: int = 2,
@@ -73,8 +77,7 @@ def grid_search(train: DataFrame, row_id: str, settings: list[dict] | None = Non
     """
     spark = train.sparkSession
     settings = settings if settings is not None else grid_settings()
-    data = with_class_weight(with_folds(train, row_id, "label", folds)).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    data = written(with_class_weight(with_folds(train, row_id, "label", folds)), "folds")
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
     scores: dict[int, float] = {}
     for weight in {s.get("class_weight") for s in settings}:
@@ -96,9 +99,7 @@ def grid_search(train: DataFrame, row_id: str, settings: list[dict] | None = Non
     )
     best = best_setting(table).first()
     winner = next(s for s in settings if str(s) == best["setting"])
-    model = forest(**winner).fit(data)
-    data.unpersist()
-    return model, table
+    return forest(**winner).fit(data), table
 
 
 class CalibratedSvm:
@@ -134,8 +135,7 @@ def _with_margin(scored: DataFrame) -> DataFrame:
 def calibrated_svm(train: DataFrame, row_id: str, folds: int = fixed.FOLDS,
                    max_iter: int = 50) -> CalibratedSvm:
     """Balanced linear SVM; probabilities after Platt (1999) from out-of-fold margins."""
-    data = with_class_weight(with_folds(train, row_id, "label", folds)).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    data = written(with_class_weight(with_folds(train, row_id, "label", folds)), "folds")
     estimator = LinearSVC(weightCol="weight", maxIter=max_iter)
     margins = None
     for fold in range(folds):
@@ -144,9 +144,7 @@ def calibrated_svm(train: DataFrame, row_id: str, folds: int = fixed.FOLDS,
             "label", "margin")
         margins = part if margins is None else margins.unionByName(part)
     curve = LogisticRegression(featuresCol="margin").fit(margins)
-    svm = estimator.fit(data)
-    data.unpersist()
-    return CalibratedSvm(svm, curve)
+    return CalibratedSvm(estimator.fit(data), curve)
 
 
 def accuracy_share() -> Column:
@@ -163,8 +161,8 @@ def learning_curve(df: DataFrame, row_id: str, estimator: Estimator, folds: int
     """
     spark = df.sparkSession
     folded = with_folds(df.select(row_id, "label", "features"), row_id, "label", folds)
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
-    training = learning_curve_rows(folded, row_id, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = written(folded, "folds")
+    training = written(learning_curve_rows(folded, row_id, folds), "curve")
     sizes = {r["test_fold"]: r["n"] for r in
              training.groupBy("test_fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     smallest = min(sizes.values())
@@ -179,6 +177,4 @@ def learning_curve(df: DataFrame, row_id: str, estimator: Estimator, folds: int
             train_score = model.transform(part).agg(accuracy_share()).first()[0]
             cv_score = model.transform(held_out).agg(accuracy_share()).first()[0]
             rows.append((size, fold, float(train_score), float(cv_score)))
-    training.unpersist()
-    folded.unpersist()
     return spark.createDataFrame(rows, "train_size int, fold int, train double, cv double")

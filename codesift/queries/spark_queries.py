@@ -82,7 +82,7 @@ def findings_regrouped(spark, folder):
 
 @query
 def findings_per_file(spark, folder):
-    return scan.with_findings(corpus(spark, folder)).select("doc_id", *_long("danger_count"))
+    return scan.with_danger_count(corpus(spark, folder)).select("doc_id", *_long("danger_count"))
 
 
 @query
