@@ -25,11 +25,14 @@ _REPLACEMENT = "\ufffd"
 _STASHED_REPLACEMENT = "\x00\x01\x00"
 
 
+def without_comments(code: Column) -> Column:
+    """Drop what follows ``//``, then what follows ``#``, up to the line end."""
+    return F.regexp_replace(F.regexp_replace(code, r"(?d)//.*", ""), r"(?d)#.*", "")
+
+
 def clean_code(code: Column) -> Column:
-    """Drop ``//`` and ``#`` comments, fold white space, trim; null gives ''."""
-    no_slashes = F.regexp_replace(code, r"(?d)//.*", "")
-    no_hashes = F.regexp_replace(no_slashes, r"(?d)#.*", "")
-    folded = F.regexp_replace(no_hashes, f"[{SPACE_CLASS}]+", " ")
+    """Drop comments, fold white space, trim; null gives ''."""
+    folded = F.regexp_replace(without_comments(code), f"[{SPACE_CLASS}]+", " ")
     return F.coalesce(F.trim(folded), F.lit(""))
 
 
@@ -43,9 +46,14 @@ def snippet(line: Column) -> Column:
     return F.substring(F.btrim(line, F.lit(SPACE_CHARS)), 1, fixed.SNIPPET_CHARS)
 
 
-def tokens(clean: Column) -> Column:
-    """Lower-cased word tokens."""
-    return F.regexp_extract_all(F.lower(clean), F.lit(f"([{WORD_CLASS}]+)"), F.lit(1))
+def tokens(code: Column) -> Column:
+    """Lower-cased word tokens of code without comments.
+
+    White space ends a token whether or not it is folded, so the clean text need
+    not be made first.
+    """
+    lowered = F.lower(F.coalesce(without_comments(code), F.lit("")))
+    return F.array_remove(F.split(lowered, f"[^{WORD_CLASS}]+"), "")
 
 
 def brace_depth(code: Column) -> Column:

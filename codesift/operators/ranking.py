@@ -128,8 +128,8 @@ def learning_curve_rows(df: DataFrame, row_id: str, folds: int = fixed.FOLDS,
                         seed: int = fixed.SEED) -> DataFrame:
     """Training rows of every fold with their rank: ``test_fold`` and ``train_rank``.
 
-    A row trains every fold but its own, so there are folds - 1 rows for each.
-    A curve step keeps the rows with ``train_rank <= floor(fraction * fold rows)``.
+    A row trains every fold but its own, so there are folds - 1 rows for each;
+    give it narrow rows.
     """
     others = F.array(*[F.lit(f) for f in range(folds)])
     copies = df.withColumn("test_fold", F.explode(others)).filter(
@@ -138,6 +138,28 @@ def learning_curve_rows(df: DataFrame, row_id: str, folds: int = fixed.FOLDS,
     return with_rank(copies, row_id, ["test_fold"], "train_rank", seed)
 
 
+def learning_curve_steps(folded: DataFrame, row_id: str, folds: int = fixed.FOLDS,
+                         fractions=fixed.LEARNING_CURVE_FRACTIONS,
+                         seed: int = fixed.SEED) -> DataFrame:
+    """``test_fold, step, train_size, cutoff``: one row per fold and fraction.
+
+    Step rows of a fold are those of other folds with a hash key up to the cutoff,
+    so wide training rows are filtered where they are and never copied. Sizes are
+    shares of the smallest training set.
+    """
+    ranked = learning_curve_rows(folded.select(row_id, "fold"), row_id, folds, seed)
+    per_fold = folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    smallest = per_fold.agg((F.sum("n") - F.max("n")).alias("n")).scalar()
+    steps = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("step"), F.floor(F.lit(f) * smallest).alias("train_size"))
+        for i, f in enumerate(fractions)]))
+    return (
+        ranked.withColumn("s", steps).filter(F.col("train_rank") == F.col("s.train_size"))
+        .select("test_fold", "s.step", "s.train_size",
+                hash_key(F.col(row_id), seed).alias("cutoff"))
+    )
+
+
 def shuffled(df: DataFrame, row_id: str, seed: int = fixed.SEED) -> DataFrame:
     """All rows in hash order (a range-partitioned sort)."""
     return df.orderBy(hash_key(F.col(row_id), seed))

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codesift import fixed_values as fixed
-from codesift.functions.text import clean_code, tokens
+from codesift.functions.text import tokens
 
 
 def with_tokens(df: DataFrame, code: str = "code") -> DataFrame:
-    return df.withColumn("tokens", tokens(clean_code(F.col(code))))
+    return df.withColumn("tokens", tokens(F.col(code)))
 
 
 def token_counts(df: DataFrame, column: str = "tokens") -> DataFrame:

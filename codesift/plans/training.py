@@ -20,7 +20,12 @@ from pyspark.sql import functions as F
 
 from codesift import fixed_values as fixed
 from codesift.operators.metrics import best_setting
-from codesift.operators.ranking import learning_curve_rows, with_folds, with_test_flag
+from codesift.operators.ranking import (
+    hash_key,
+    learning_curve_steps,
+    with_folds,
+    with_test_flag,
+)
 from codesift.operators.samples import balanced
 from codesift.plans.features import fitted_features, prepared, with_class_weight
 from codesift.session import written
@@ -157,24 +162,18 @@ def learning_curve(df: DataFrame, row_id: str, estimator: Estimator, folds: int
     """Train and validation accuracy per size and fold: ``train_size, fold, train, cv``.
 
     ``df`` has ``label`` and ``features``. Each size takes the first rows of every
-    fold's training set in hash order.
+    fold's training set in hash order; only the cutoff keys come to the driver.
     """
-    spark = df.sparkSession
-    folded = with_folds(df.select(row_id, "label", "features"), row_id, "label", folds)
-    folded = written(folded, "folds")
-    training = written(learning_curve_rows(folded, row_id, folds), "curve")
-    sizes = {r["test_fold"]: r["n"] for r in
-             training.groupBy("test_fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    smallest = min(sizes.values())
+    folded = written(
+        with_folds(df.select(row_id, "label", "features"), row_id, "label", folds), "folds")
+    key = hash_key(F.col(row_id))
     rows = []
-    for fold in range(folds):
-        held_out = folded.filter(F.col("fold") == fold)
-        own = training.filter(F.col("test_fold") == fold)
-        for fraction in fractions:
-            size = int(fraction * smallest)
-            part = own.filter(F.col("train_rank") <= size).drop("fold", "test_fold", "train_rank")
-            model = estimator.fit(part)
-            train_score = model.transform(part).agg(accuracy_share()).first()[0]
-            cv_score = model.transform(held_out).agg(accuracy_share()).first()[0]
-            rows.append((size, fold, float(train_score), float(cv_score)))
-    return spark.createDataFrame(rows, "train_size int, fold int, train double, cv double")
+    for step in learning_curve_steps(folded, row_id, folds, fractions).collect():
+        held_out = folded.filter(F.col("fold") == step["test_fold"])
+        part = folded.filter((F.col("fold") != step["test_fold"]) & (key <= step["cutoff"]))
+        model = estimator.fit(part)
+        train_score = model.transform(part).agg(accuracy_share()).first()[0]
+        cv_score = model.transform(held_out).agg(accuracy_share()).first()[0]
+        rows.append((step["train_size"], step["test_fold"], float(train_score), float(cv_score)))
+    return df.sparkSession.createDataFrame(
+        rows, "train_size long, fold int, train double, cv double")

@@ -750,7 +750,7 @@ def streamed_contents(spark, folder):
     """Each content once, however often it arrives."""
     arrival = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id"))
     files = _stream(spark, folder, "documents").select(
-        F.col("text").alias("code"), arrival.alias("arrived"))
+        F.col("doc_id").alias("file"), F.col("text").alias("code"), arrival.alias("arrived"))
     once = jobs.once_per_content(files, "arrived", delay="3650 days").select("content_hash")
     path = new_path(spark, "stream-contents")
     jobs.write_stream(once, path, new_path(spark, "checkpoint")).awaitTermination()

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codesift import fixed_values as fixed
 from codesift.operators import samples
 from codesift.sources.synthetic import synthetic_samples
 from codesift.sources.tables import KNOWLEDGE_BASE_SCHEMA, SAMPLE_SCHEMA
@@ -19,8 +20,13 @@ _CSV = {
 
 def read_csv(spark: SparkSession, path: str, schema: str = SAMPLE_SCHEMA) -> DataFrame:
     """A CSV with quoted cells of many lines. Such files do not split: convert a
-    large one to Parquet once, or keep it in many files."""
-    return spark.read.schema(schema).options(**_CSV).csv(path)
+    large one to Parquet once, or keep it in many files. Empty cells are the empty
+    code and "no CWE", never null."""
+    return _filled(spark.read.schema(schema).options(**_CSV).csv(path))
+
+
+def _filled(df: DataFrame) -> DataFrame:
+    return df.fillna({"code": "", "cwe_id": fixed.NO_CWE})
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -37,17 +43,17 @@ def read_mined(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith(".parquet"):
         return samples.canonical(spark.read.parquet(path))
     raw = read_text_csv(spark, path)
-    return samples.canonical(raw.withColumn("is_vulnerable", F.col("is_vulnerable").cast("int")))
+    typed = raw.withColumn("is_vulnerable", F.col("is_vulnerable").cast("int"))
+    return _filled(samples.canonical(typed))
 
 
 def write_mined(df: DataFrame, path: str) -> None:
     """The mined table as Parquet, a folder per source repository.
 
-    Spread by source and text hash first, so that one large repository is written
-    by many tasks and a small one into few files.
+    Rebalancing splits a large repository over many tasks and files and keeps the
+    small ones together.
     """
-    slices = F.pmod(F.xxhash64("code"), F.lit(16))
-    df.repartition("source", slices).write.mode("overwrite").partitionBy("source").parquet(path)
+    df.hint("rebalance", F.col("source")).write.mode("overwrite").partitionBy("source").parquet(path)
 
 
 def write_knowledge_base(df: DataFrame, path: str) -> None:
