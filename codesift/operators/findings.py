@@ -25,6 +25,9 @@ FINDING_TYPE = (
     "array<struct<line:int,content:string,rule_id:int,type:string,severity:string,"
     "cwe:string,owasp:string,description:string,remediation:string>>"
 )
+METADATA = ("type", "severity", "cwe", "owasp", "description", "remediation")
+# A rule table up to this many rows is broadcast to the findings.
+BROADCAST_RULES = 10_000
 
 
 def may_hit(value: Column, rules: list[Rule]) -> Column:
@@ -69,14 +72,17 @@ def hit_rows(df: DataFrame, keys: list[str], rules: DataFrame | list[Rule] | Non
 def with_rule_metadata(hits: DataFrame, rules: DataFrame | list[Rule] | None = None) -> DataFrame:
     """Join type, severity and the other rule columns on ``rule_id``.
 
-    A list of rules is of known, small size and is broadcast; for a rule table
-    Spark chooses by its size.
+    The rules are broadcast if there are few, by count; else it is a plain join,
+    which adaptive execution splits where one rule has most of the hits.
     """
     if isinstance(rules, DataFrame):
         table = rules
+        few = rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
     else:
-        table = F.broadcast(rule_table(hits.sparkSession, rules))
-    return hits.join(table.drop("pattern"), "rule_id")
+        table = rule_table(hits.sparkSession, rules)
+        few = rules is None or len(rules) <= BROADCAST_RULES
+    table = table.drop("pattern")
+    return hits.join(F.broadcast(table) if few else table, "rule_id")
 
 
 def finding_rows(df: DataFrame, keys: list[str],
@@ -86,16 +92,6 @@ def finding_rows(df: DataFrame, keys: list[str],
     return with_rule_metadata(hits, rules)
 
 
-def _finding(rule: Rule, line_number: Column, line: Column) -> Column:
-    return F.struct(
-        line_number.alias("line"), text.snippet(line).alias("content"),
-        F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.type).alias("type"),
-        F.lit(rule.severity).alias("severity"), F.lit(rule.cwe).alias("cwe"),
-        F.lit(rule.owasp).alias("owasp"), F.lit(rule.description).alias("description"),
-        F.lit(rule.remediation).alias("remediation"),
-    )
-
-
 def _per_line(code: Column, batches: list[list[Rule]], of_batch) -> Column:
     """What ``of_batch(batch, line, line number)`` gives, flattened over all lines."""
 
@@ -114,12 +110,27 @@ def _any_rule(code: Column, batches: list[list[Rule]]) -> Column:
 def findings_column(code: Column, rules: DataFrame | list[Rule] | None = None) -> Column:
     """All findings of a text as an array, ordered by line and then rule."""
     batches = list(rule_batches(rules))
-
-    def nested(batch: list[Rule], line: Column, number: Column) -> Column:
-        return F.array_compact(F.array(*[
-            F.when(rule.matches(line), _finding(rule, number, line)) for rule in batch]))
-
-    found = _per_line(code, batches, nested).cast(FINDING_TYPE)
+    known = [rule for batch in batches for rule in batch]
+    place = {rule.rule_id: i for i, rule in enumerate(known)}
+    metadata = F.array(*[
+        F.struct(F.lit(rule.rule_id).alias("rule_id"),
+                 *[F.lit(getattr(rule, name)).alias(name) for name in METADATA])
+        for rule in known
+    ])
+
+    def places(batch: list[Rule], line: Column, number: Column) -> Column:
+        hits = F.array_compact(F.array(*[
+            F.when(rule.matches(line), F.lit(place[rule.rule_id])) for rule in batch]))
+        return F.transform(hits, lambda hit: F.struct(
+            number.alias("line"), text.snippet(line).alias("content"), hit.alias("place")))
+
+    def finding(hit: Column) -> Column:
+        rule = F.get(metadata, hit["place"])
+        return F.struct(
+            hit["line"].alias("line"), hit["content"].alias("content"),
+            rule["rule_id"].alias("rule_id"), *[rule[name].alias(name) for name in METADATA])
+
+    found = F.transform(_per_line(code, batches, places), finding).cast(FINDING_TYPE)
     return F.when(_any_rule(code, batches), found).otherwise(F.array().cast(FINDING_TYPE))
 
 

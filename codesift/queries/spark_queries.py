@@ -178,10 +178,17 @@ def page_brace_depths(spark, folder):
 
 @query
 def code_structure(spark, folder):
-    measured = with_structure(corpus(spark, folder).select("doc_id", "snippet"), "snippet")
+    """Depth and complexity of whole documents, most of which are not Python."""
+    measured = with_structure(corpus(spark, folder).select("doc_id", "code"))
     return measured.select("doc_id", "ast_depth", _round("complexity"))
 
 
+@query
+def snippet_structure(spark, folder):
+    measured = with_structure(corpus(spark, folder).select("doc_id", "snippet"), "snippet")
+    return measured.select("doc_id", *_long("ast_depth"), _round("complexity"))
+
+
 @query
 def decoded_bytes(spark, folder):
     """Both decode policies on texts with bad bytes at the end."""
@@ -500,6 +507,13 @@ def learning_curve_prefixes(spark, folder):
     return rows.select("doc_id", "test_fold", *_long("train_rank"))
 
 
+@query
+def learning_curve_cutoffs(spark, folder):
+    folded = ranking.with_folds(_labelled_documents(spark, folder), "doc_id", "is_vulnerable")
+    return ranking.learning_curve_steps(folded, "doc_id").select(
+        "test_fold", "step", *_long("train_size"), "cutoff")
+
+
 @query
 def shuffled_documents(spark, folder):
     return ranking.shuffled(documents(spark, folder).select("doc_id", "source"), "doc_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from codesift import fixed_values as fixed
 from codesift.functions.patterns import re2_pattern
+from codesift.functions.structure import measure
 from codesift.functions.text import SPACE_CLASS, WORD_CLASS
 from codesift.sources.tables import snippet_rows
 
@@ -83,6 +84,20 @@ def _brace(source: str, key: str, code: str) -> str:
     )
 
 
+def _shapes() -> str:
+    """Depth and complexity of each snippet, by the parser and by counting braces."""
+    rows = []
+    for _, snippet, *_ in snippet_rows():
+        depth, complexity = measure(snippet)
+        if depth is None:
+            depth, level = 0, 0
+            for char in snippet:
+                level = level + 1 if char == "{" else max(0, level - (char == "}"))
+                depth = max(depth, level)
+        rows.append((snippet, depth, str(float(complexity or 1))))
+    return _values(rows)
+
+
 _FOLDERS = "['src', 'my_tests', '.hidden', 'node_modules', 'lib']"
 _FOLDER = f"{_FOLDERS}[doc_id % 5 + 1]"
 _SCORE = "CAST(doc_id * 37 % 101 AS DOUBLE) / CAST(100 AS DOUBLE)"
@@ -286,6 +301,10 @@ TWINS: dict[str, str] = {
         f"WITH {TOKENS} SELECT token, term_count, doc_count FROM counts",
     "brace_depths": f"WITH {CORPUS}, {_brace('corpus', 'doc_id', 'code')} SELECT * FROM depth",
     "page_brace_depths": f"WITH {_brace('pages', 'page_id', 'html')} SELECT * FROM depth",
+    "snippet_structure":
+        f"WITH {CORPUS}, shape(snippet, ast_depth, complexity) AS (VALUES {_shapes()}) "
+        "SELECT c.doc_id, CAST(s.ast_depth AS BIGINT) AS ast_depth, "
+        "CAST(s.complexity AS DOUBLE) AS complexity FROM corpus c JOIN shape s ON c.snippet = s.snippet",
     "decoded_bytes":
         "SELECT doc_id, md5(text) AS mined, CASE WHEN doc_id % 2 = 0 THEN strlen(text) + 3 "
         "ELSE length(text) END AS scanned_chars FROM documents",
@@ -417,6 +436,15 @@ TWINS: dict[str, str] = {
         f"WITH {FOLDED} SELECT doc_id, CAST(t AS INTEGER) AS test_fold, row_number() OVER "
         f"(PARTITION BY t ORDER BY {KEY}) AS train_rank FROM folded "
         f"JOIN (SELECT unnest(range(0, {fixed.FOLDS})) AS t) x ON t <> fold",
+    "learning_curve_cutoffs":
+        f"WITH {FOLDED}, ranked AS (SELECT CAST(t AS INTEGER) AS test_fold, {KEY} AS cutoff, "
+        f"row_number() OVER (PARTITION BY t ORDER BY {KEY}) AS place FROM folded "
+        f"JOIN (SELECT unnest(range(0, {fixed.FOLDS})) AS t) x ON t <> fold), "
+        "least_rows AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM ranked GROUP BY test_fold)), "
+        "steps AS (SELECT CAST(step AS INTEGER) AS step, CAST(floor(CAST(share AS DOUBLE) * n) AS BIGINT) "
+        f"AS train_size FROM least_rows, (VALUES {_values(enumerate(map(str, fixed.LEARNING_CURVE_FRACTIONS)))}) "
+        "v(step, share)) SELECT test_fold, step, train_size, cutoff FROM ranked "
+        "JOIN steps ON place = train_size",
     "shuffled_documents": f"SELECT doc_id, source FROM documents ORDER BY {KEY}",
     "hash_ranks":
         f"SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {KEY}) AS rank "

@@ -25,6 +25,8 @@ def build_session(app_name: str = "codesift", master: str | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Whole source files travel in Arrow batches; keep those small.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     )
     if master:
         builder = builder.master(master)
