@@ -54,6 +54,6 @@ def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
     counts = df.groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p"))
     rows = counts.select("n").scalar()
     positive = counts.select("p").scalar()
-    weight = F.when(F.col(label) == 1, rows / (2.0 * positive)).otherwise(
-        rows / (2.0 * (rows - positive)))
+    weight = F.when(F.col(label) == 1, F.try_divide(rows, 2.0 * positive)).otherwise(
+        F.try_divide(rows, 2.0 * (rows - positive)))
     return df.withColumn("weight", weight)

@@ -163,7 +163,9 @@ def learning_curve(df: DataFrame, row_id: str, estimator: Estimator, folds: int
 
     ``df`` has ``label`` and ``features``. Each size takes the first rows of every
     fold's training set in hash order; only the cutoff keys come to the driver.
+    An estimator with a weight column gets balanced weights of each training set.
     """
+    weighted = estimator.isDefined("weightCol")
     folded = written(
         with_folds(df.select(row_id, "label", "features"), row_id, "label", folds), "folds")
     key = hash_key(F.col(row_id))
@@ -171,7 +173,7 @@ def learning_curve(df: DataFrame, row_id: str, estimator: Estimator, folds: int
     for step in learning_curve_steps(folded, row_id, folds, fractions).collect():
         held_out = folded.filter(F.col("fold") == step["test_fold"])
         part = folded.filter((F.col("fold") != step["test_fold"]) & (key <= step["cutoff"]))
-        model = estimator.fit(part)
+        model = estimator.fit(with_class_weight(part) if weighted else part)
         train_score = model.transform(part).agg(accuracy_share()).first()[0]
         cv_score = model.transform(held_out).agg(accuracy_share()).first()[0]
         rows.append((step["train_size"], step["test_fold"], float(train_score), float(cv_score)))

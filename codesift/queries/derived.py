@@ -56,7 +56,7 @@ def results(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-FILE_FOLDERS = ("src", "my_tests", ".hidden", "node_modules", "lib")
+FILE_FOLDERS = ("src", "my_tests", ".hidden", "node_modules", "lib", "test_cases")
 
 
 def file_path():

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codesift import fixed_values as fixed
 from codesift.functions import text
 from codesift.functions.structure import with_structure
 from codesift.operators import distributions, drift, metrics, ranking, report, samples, tfidf
@@ -24,7 +26,7 @@ from codesift.queries.derived import (
     trained,
 )
 from codesift.session import new_path
-from codesift.sources import code_files, scan_reports
+from codesift.sources import scan_reports
 from codesift.sources import samples as sample_files
 from codesift.sources.tables import known_weaknesses
 from codesift.streaming import jobs
@@ -339,6 +341,13 @@ def synthetic_samples(spark, folder):
                                         "cwe_id")
 
 
+@query
+def first_rows(spark, folder):
+    """The head of the sample table, as a preview shows it."""
+    rows = corpus(spark, folder).orderBy("doc_id").limit(5)
+    return rows.select("doc_id", F.col("snippet").alias("code"), "is_vulnerable", "cwe_id")
+
+
 @query
 def mined_files(spark, folder):
     """Files on disk to weakly labelled samples: the whole mining job."""
@@ -365,9 +374,11 @@ def path_policies(spark, folder):
     parts = F.split("path", "/")
     folders = F.slice(parts, 1, F.size(parts) - 1)
     mined = ~F.exists(folders, lambda d: d.startswith(".") | F.lower(d).contains("test"))
-    skipped = F.array(*[F.lit(d) for d in code_files.fixed.SCAN_SKIPPED_DIRECTORIES])
+    skipped = F.array(*[F.lit(d) for d in fixed.SCAN_SKIPPED_DIRECTORIES])
+    named = "|".join(re.escape(p) for p in fixed.SCAN_SKIPPED_PATH_PARTS)
+    scanned = ~F.arrays_overlap(folders, skipped) & ~F.col("path").rlike(named)
     return paths.select("doc_id", mined.cast("int").alias("mined"),
-                        (~F.arrays_overlap(folders, skipped)).cast("int").alias("scanned"))
+                        scanned.cast("int").alias("scanned"))
 
 
 @query

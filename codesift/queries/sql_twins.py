@@ -98,8 +98,8 @@ def _shapes() -> str:
     return _values(rows)
 
 
-_FOLDERS = "['src', 'my_tests', '.hidden', 'node_modules', 'lib']"
-_FOLDER = f"{_FOLDERS}[doc_id % 5 + 1]"
+_FOLDERS = "['src', 'my_tests', '.hidden', 'node_modules', 'lib', 'test_cases']"
+_FOLDER = f"{_FOLDERS}[doc_id % 6 + 1]"
 _SCORE = "CAST(doc_id * 37 % 101 AS DOUBLE) / CAST(100 AS DOUBLE)"
 _FILE = "'doc_' || doc_id || language"
 RESULTS = (
@@ -356,14 +356,14 @@ TWINS: dict[str, str] = {
     "mined_files":
         f"WITH {WEAK} SELECT source, language, cwe_id, count(*) AS files, "
         "CAST(sum(is_vulnerable) AS BIGINT) AS vulnerable, CAST(sum(length(code)) AS BIGINT) AS chars "
-        f"FROM weak WHERE {_FOLDER} NOT IN ('my_tests', '.hidden') AND length(code) BETWEEN 50 AND 100000 "
+        f"FROM weak WHERE {_FOLDER} NOT IN ('my_tests', '.hidden', 'test_cases') AND length(code) BETWEEN 50 AND 100000 "
         "GROUP BY 1, 2, 3",
     "scan_target_files":
         f"WITH {CORPUS} SELECT source || '/' || {_FOLDER} || '/_doc_' || doc_id || language AS file, "
-        f"md5(code) AS digest FROM corpus WHERE {_FOLDER} <> 'node_modules'",
+        f"md5(code) AS digest FROM corpus WHERE {_FOLDER} NOT IN ('node_modules', 'test_cases')",
     "path_policies":
-        f"SELECT doc_id, CASE WHEN {_FOLDER} IN ('my_tests', '.hidden') THEN 0 ELSE 1 END AS mined, "
-        f"CASE WHEN {_FOLDER} = 'node_modules' THEN 0 ELSE 1 END AS scanned FROM documents",
+        f"SELECT doc_id, CASE WHEN {_FOLDER} IN ('my_tests', '.hidden', 'test_cases') THEN 0 ELSE 1 END AS mined, "
+        f"CASE WHEN {_FOLDER} IN ('node_modules', 'test_cases') THEN 0 ELSE 1 END AS scanned FROM documents",
     "length_band":
         f"WITH {CORPUS} SELECT doc_id, language FROM corpus WHERE length(code) BETWEEN 50 AND 100000",
     "scan_report":
@@ -480,6 +480,11 @@ TWINS: dict[str, str] = {
         "ORDER BY g.score DESC, user_id LIMIT 1",
     "value_drift": _ks_events(""),
     "value_drift_by_type": _ks_events("event_type"),
+    "first_rows":
+        f"WITH {CORPUS} SELECT doc_id, snippet AS code, is_vulnerable, cwe_id FROM corpus "
+        "ORDER BY doc_id LIMIT 5",
+    "default_embeddings":
+        "SELECT doc_id, CAST(768 AS BIGINT) AS size, CAST(0 AS DOUBLE) AS total FROM documents",
     "streamed_findings":
         f"WITH {SCAN} SELECT c.doc_id, count(h.rule_id) AS danger_count FROM corpus c "
         "LEFT JOIN hits h ON c.doc_id = h.doc_id GROUP BY 1",
