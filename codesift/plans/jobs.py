@@ -6,7 +6,8 @@ called from a notebook or through ``python -m codesift``.
 
 from __future__ import annotations
 
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator
+from pyspark.ml.classification import LinearSVC
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def train(samples: DataFrame, models: str, settings: list[dict] | None = None,
     return {"grid": grid, **curve, **evaluating.evaluation(scored)}
 
 
-def forest_like(model) -> Transformer:
+def forest_like(model) -> Estimator:
     """A forest with the settings of a fitted one, not yet fitted."""
     weight = "balanced" if model.isDefined("weightCol") else None
     return training.forest(model.getNumTrees, model.getOrDefault("maxDepth"),
@@ -71,6 +72,14 @@ def learning_curve(rows: DataFrame, estimator, row_id: str = "row_id") -> Tables
     return {"learning_curve": curve, "diagnosis": metrics.fit_diagnosis(curve)}
 
 
+def training_analysis(train_rows: DataFrame, test_rows: DataFrame,
+                      row_id: str = "row_id") -> dict[str, Tables]:
+    """Learning curves of a forest and a linear SVM over train and test rows together."""
+    rows = train_rows.unionByName(test_rows)
+    estimators = {"Random Forest": training.forest(trees=100), "SVM": LinearSVC()}
+    return {name: learning_curve(rows, e, row_id) for name, e in estimators.items()}
+
+
 def evaluate(spark: SparkSession, models: str) -> Tables:
     """Evaluation tables of the stored test set, per model."""
     return evaluating.evaluation(evaluating.load_baseline(spark, models))

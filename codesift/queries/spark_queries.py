@@ -276,12 +276,11 @@ def mined_csv(spark, folder):
 
 @query
 def mined_parquet(spark, folder):
-    """The mined table in folders by source, read back with one folder pruned."""
+    """The mined table in folders by source, read back and counted per folder."""
     path = new_path(spark, "mined")
     sample_files.write_mined(
         corpus(spark, folder).select("code", "is_vulnerable", "cwe_id", "source", "language"), path)
-    kept = spark.read.parquet(path).filter("source != 'src0'")
-    return kept.groupBy("source", "language").agg(
+    return spark.read.parquet(path).groupBy("source", "language").agg(
         F.count(F.lit(1)).alias("n"), F.sum("is_vulnerable").cast("long").alias("vulnerable"))
 
 
@@ -674,9 +673,9 @@ def model_evaluation(spark, folder):
 
 @query
 def model_learning_curve(spark, folder):
-    """Accuracy at two sizes over two folds, with a small forest."""
-    train, _, _, _, _ = trained(spark, folder)
-    curve = training.learning_curve(train, "doc_id", training.forest(trees=5, depth=5), folds=2,
+    """Accuracy at two sizes over two folds of all rows, with a small forest."""
+    train, test, _, _, _ = trained(spark, folder)
+    curve = training.learning_curve(train.unionByName(test), "doc_id", training.forest(trees=5, depth=5), folds=2,
                                     fractions=(0.1, 1.0))
     return metrics.fold_summary(curve, "train_size", ["train", "cv"])
 

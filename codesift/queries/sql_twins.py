@@ -331,8 +331,7 @@ TWINS: dict[str, str] = {
         f"WITH {CORPUS} SELECT md5(code) AS digest, is_vulnerable, 'None' AS cwe_id FROM corpus",
     "mined_parquet":
         f"WITH {CORPUS} SELECT source, language, count(*) AS n, "
-        "CAST(sum(is_vulnerable) AS BIGINT) AS vulnerable FROM corpus WHERE source <> 'src0' "
-        "GROUP BY 1, 2",
+        "CAST(sum(is_vulnerable) AS BIGINT) AS vulnerable FROM corpus GROUP BY 1, 2",
     "function_table":
         "SELECT CASE WHEN doc_id % 6 < 4 THEN 1 ELSE 0 END AS is_vulnerable, 'N/A' AS cwe_id, "
         "count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1",

@@ -33,6 +33,13 @@ _BATCH_BYTES = 32 << 20
 _ARROW = pa.schema([("path", pa.string()), ("content", pa.binary()), ("length", pa.int64())])
 
 
+def filesystem_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system a path or URI names, and the path on it."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
 def enters(policy: str, folder: str) -> bool:
     """Whether a folder of that name, below the root, is read."""
     if policy == "mining":
@@ -66,8 +73,13 @@ class CodeFilesReader(DataSourceReader):
         self.extensions = tuple(e.strip() for e in named.split(",") if e.strip())
         self.max_folders = int(options.get("folders", 4096))
         self.per_task = int(options.get("filesPerTask", 1024))
-        self.filesystem, self.root = fs.FileSystem.from_uri(options["path"]) \
-            if "://" in options["path"] else (fs.LocalFileSystem(), options["path"])
+        self.given = options["path"].rstrip("/") or "/"
+        self.filesystem, root = filesystem_of(self.given)
+        self.root = root.rstrip("/")
+
+    def _shown(self, path: str) -> str:
+        """The path below the root as the caller wrote it."""
+        return self.given + path[len(self.root) :]
 
     def _list(self, folder: str) -> tuple[list[str], list[str]]:
         files, folders = [], []
@@ -75,12 +87,14 @@ class CodeFilesReader(DataSourceReader):
             if entry.type == fs.FileType.Directory:
                 if enters(self.policy, entry.base_name):
                     folders.append(entry.path)
-            elif takes(self.policy, entry.path, self.extensions):
+            elif takes(self.policy, self._shown(entry.path), self.extensions):
                 files.append(entry.path)
         return sorted(files), sorted(folders)
 
     def partitions(self):
-        tasks, files, waiting, seen = [], [], [self.root], 0
+        if self.filesystem.get_file_info(self.root).type == fs.FileType.File:
+            return [Files([self.root], [])]  # a single file is taken as it is
+        tasks, files, waiting, seen = [], [], [self.root or "/"], 0
         while waiting and seen < self.max_folders:
             folder_files, folders = self._list(waiting.pop(0))
             waiting.extend(folders)
@@ -112,7 +126,7 @@ class CodeFilesReader(DataSourceReader):
                     content = stream.read()
             except OSError:
                 content = None  # an unreadable file stays visible as a null row
-            rows.append((path, content, len(content) if content is not None else None))
+            rows.append((self._shown(path), content, len(content) if content is not None else None))
             held += len(content or b"")
             if held > _BATCH_BYTES:
                 yield _batch(rows)
@@ -154,8 +168,7 @@ def write_code_files(df: DataFrame, root: str, path: str = "path", content: str
 
     A task that runs again writes the same files again.
     """
-    filesystem, base = fs.FileSystem.from_uri(root) if "://" in root \
-        else (fs.LocalFileSystem(), root)
+    filesystem, base = filesystem_of(root)
 
     def land(batches):
         for batch in batches:

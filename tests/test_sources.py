@@ -88,6 +88,10 @@ def test_code_files_policies(spark, tmp_path):
     scanned = names(code_files.read_code_files(spark, root, "scanning"), root)
     assert scanned == {"repo/src/__init__.py", "repo/src/a.py", "repo/my_Tests/c.py",
                        "repo/src/deep/er/f.c", "other/h.go", "other/_i.rb"}
+    single = code_files.read_code_files(spark, f"{root}/repo/e.txt", "scanning")
+    assert names(single, root) == {"repo/e.txt"}
+    by_uri = code_files.read_code_files(spark, f"file://{root}/", "mining").collect()
+    assert {r["path"] for r in by_uri} == {f"file://{root}/{n}" for n in mined}
     # Folders left to the tasks give the same files.
     few = code_files.read_code_files(spark, root, "mining", folders="1")
     assert names(few, root) == mined and few.rdd.getNumPartitions() == 2
