@@ -26,18 +26,32 @@ FINDING_TYPE = (
     "cwe:string,owasp:string,description:string,remediation:string>>"
 )
 METADATA = ("type", "severity", "cwe", "owasp", "description", "remediation")
+# Characters that most rules hold and many lines do not.
+_MARKS = "(=+."
 # A rule table up to this many rows is broadcast to the findings.
 BROADCAST_RULES = 10_000
 
 
 def may_hit(value: Column, rules: list[Rule]) -> Column:
-    """False only if no rule can hit the text; a plain byte search."""
+    """False only if no rule can hit the text; a plain byte search.
+
+    Guards that share a mark are looked for only where the mark itself occurs.
+    """
     guards = {rule.guard for rule in rules}
     if None in guards:
         return F.lit(True)
     # A guard that holds another guard adds nothing.
     short = [g for g in sorted(guards) if not any(o != g and o in g for o in guards)]
-    return reduce(Column.__or__, (F.contains(value, F.lit(g)) for g in short))
+    by_mark: dict[str, list[str]] = {}
+    for guard in short:
+        by_mark.setdefault(next((m for m in _MARKS if m in guard), ""), []).append(guard)
+
+    def found(texts: list[str]) -> Column:
+        return reduce(Column.__or__, (F.contains(value, F.lit(t)) for t in texts))
+
+    return reduce(Column.__or__, (
+        found([mark]) & found(texts) if mark and len(texts) > 1 else found(texts)
+        for mark, texts in by_mark.items()))
 
 
 def hit_rules(line: Column, rules: list[Rule]) -> Column:
@@ -57,15 +71,17 @@ def numbered_lines(df: DataFrame, keys: list[str], code: str = "code") -> DataFr
 def hit_rows(df: DataFrame, keys: list[str], rules: DataFrame | list[Rule] | None = None,
              code: str = "code") -> DataFrame:
     """One row per (line, rule) hit: keys, ``line``, raw ``content``, ``rule_id``."""
+    lines = numbered_lines(df, keys, code)
     parts = []
     for batch in rule_batches(rules):
-        lines = numbered_lines(df.filter(may_hit(F.col(code), batch)), keys, code)
         parts.append(
             lines.filter(may_hit(F.col("content"), batch)).select(
                 *keys, "line", "content",
                 F.explode(hit_rules(F.col("content"), batch)).alias("rule_id"),
             )
         )
+    if not parts:
+        return lines.withColumn("rule_id", F.lit(None).cast("int")).filter(F.lit(False))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -102,11 +118,6 @@ def _per_line(code: Column, batches: list[list[Rule]], of_batch) -> Column:
     return F.flatten(F.transform(text.lines(code), of_line))
 
 
-def _any_rule(code: Column, batches: list[list[Rule]]) -> Column:
-    return F.coalesce(
-        reduce(Column.__or__, (may_hit(code, batch) for batch in batches)), F.lit(False))
-
-
 def findings_column(code: Column, rules: DataFrame | list[Rule] | None = None) -> Column:
     """All findings of a text as an array, ordered by line and then rule."""
     batches = list(rule_batches(rules))
@@ -130,17 +141,19 @@ def findings_column(code: Column, rules: DataFrame | list[Rule] | None = None) -
             hit["line"].alias("line"), hit["content"].alias("content"),
             rule["rule_id"].alias("rule_id"), *[rule[name].alias(name) for name in METADATA])
 
-    found = F.transform(_per_line(code, batches, places), finding).cast(FINDING_TYPE)
-    return F.when(_any_rule(code, batches), found).otherwise(F.array().cast(FINDING_TYPE))
+    if not batches:
+        return F.array().cast(FINDING_TYPE)
+    return F.transform(_per_line(code, batches, places), finding).cast(FINDING_TYPE)
 
 
 def with_danger_count(df: DataFrame, rules: DataFrame | list[Rule] | None = None,
                       code: str = "code") -> DataFrame:
     """Add only the number of findings."""
     batches = list(rule_batches(rules))
+    if not batches:
+        return df.withColumn("danger_count", F.lit(0))
     found = _per_line(F.col(code), batches, lambda batch, line, _: hit_rules(line, batch))
-    counted = F.when(_any_rule(F.col(code), batches), F.size(found)).otherwise(0)
-    return df.withColumn("danger_count", counted)
+    return df.withColumn("danger_count", F.size(found))
 
 
 def with_findings(df: DataFrame, rules: DataFrame | list[Rule] | None = None,

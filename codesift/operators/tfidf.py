@@ -82,25 +82,29 @@ def vector_entries(df: DataFrame, vector: str, keys: list[str]) -> DataFrame:
     )
 
 
+def _named_entries(df: DataFrame, vector: str, row_id: str, words: list[str]) -> DataFrame:
+    """Stored entries with the token of each index."""
+    names = F.array(*[F.lit(w) for w in words or [" "]])
+    return vector_entries(df, vector, [row_id]).select(
+        row_id, F.get(names, F.col("index")).alias("token"), "value")
+
+
 def tfidf_rows(df: DataFrame, row_id: str, column: str = "tokens",
                size: int = fixed.VOCABULARY_SIZE) -> DataFrame:
     """Fit and transform: ``row_id, token, tfidf`` for every nonzero weight."""
     model, words = fitted_tfidf(vocabulary(df, column, size), column)
     vectors = model.transform(df.select(row_id, column)).select(row_id, "tfidf")
-    names = F.array(*[F.lit(w) for w in words]) if words else F.array(F.lit(" "))
-    return vector_entries(vectors, "tfidf", [row_id]).select(
-        row_id, F.get(names, F.col("index")).alias("token"), F.col("value").alias("tfidf")
-    )
+    return _named_entries(vectors, "tfidf", row_id, words).select(
+        row_id, "token", F.col("value").alias("tfidf"))
 
 
 def known_tokens(df: DataFrame, row_id: str, vocabulary_table: DataFrame,
                  column: str = "tokens") -> DataFrame:
-    """Token lookup as a join: ``row_id, token, n, idf``; unknown tokens drop.
+    """Token lookup: ``row_id, token, n``; tokens outside the vocabulary drop.
 
-    The vocabulary is a top-k table of bounded size and is broadcast.
+    Counted within each row, so there is no join and no shuffle.
     """
-    return (
-        df.select(row_id, F.explode(column).alias("token"))
-        .join(F.broadcast(vocabulary_table.select("token", "idf")), "token")
-        .groupBy(row_id, "token").agg(F.count(F.lit(1)).alias("n"), F.first("idf").alias("idf"))
-    )
+    model, words = fitted_tfidf(vocabulary_table, column)
+    counted = model.stages[0].transform(df.select(row_id, column)).select(row_id, "_counts")
+    return _named_entries(counted, "_counts", row_id, words).select(
+        row_id, "token", F.col("value").cast("long").alias("n"))

@@ -104,6 +104,13 @@ def test_null_code_has_no_findings(spark):
     assert findings.with_danger_count(df).first()["danger_count"] == 0
 
 
+def test_no_rules(spark):
+    df = spark.createDataFrame([(1, "gets(x)")], "id int, code string")
+    assert findings.hit_rows(df, ["id"], []).count() == 0
+    assert findings.with_findings(df, []).first()["findings"] == []
+    assert findings.with_danger_count(df, []).first()["danger_count"] == 0
+
+
 def test_user_rules_in_batches(spark, monkeypatch):
     monkeypatch.setattr(rules, "RULES_PER_PASS", 3)
     table = spark.createDataFrame(
