@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from codesift import fixed_values as fixed
 from codesift.functions.patterns import java_pattern, literal_text
+from codesift.sources.tables import small_table
 
 RULE_SCHEMA = (
     "rule_id int, pattern string, type string, severity string, cwe string, "
@@ -86,7 +87,7 @@ def default_rules() -> list[Rule]:
 def rule_table(spark: SparkSession, rules: list[Rule] | None = None) -> DataFrame:
     """The rule base as a table, one row per rule."""
     rules = default_rules() if rules is None else rules
-    return spark.createDataFrame([r.row() for r in rules], RULE_SCHEMA)
+    return small_table(spark, [r.row() for r in rules], RULE_SCHEMA)
 
 
 def rule_batches(rules: DataFrame | list[Rule] | None) -> Iterator[list[Rule]]:

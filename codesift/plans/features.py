@@ -12,6 +12,7 @@ from codesift.functions.structure import with_structure
 from codesift.operators.findings import with_danger_count, with_findings
 from codesift.operators.rules import Rule
 from codesift.operators.tfidf import fitted_tfidf, vocabulary, with_tokens
+from codesift.sources.tables import small_table
 
 
 def prepared(df: DataFrame, rules: DataFrame | list[Rule] | None = None, code: str = "code",
@@ -43,7 +44,7 @@ def fitted_features(train: DataFrame, include_rule_feature: bool = True,
 def feature_names(names: list[str], df: DataFrame) -> DataFrame:
     """Index to name table, for joining importances and attributions."""
     rows = list(enumerate(names))
-    return df.sparkSession.createDataFrame(rows, "index int, feature string")
+    return small_table(df.sparkSession, rows, "index int, feature string")
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:

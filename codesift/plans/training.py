@@ -59,10 +59,12 @@ def split_features(samples: DataFrame, row_id: str,
 def forest(trees: int = 100, depth: int | None = None, min_split: int = 2,
            class_weight: str | None = None, seed: int = fixed.SEED) -> RandomForestClassifier:
     """A random forest. A node that must hold ``min_split`` rows to split is met
-    by children of at least half that many."""
+    by children of at least half that many. Deep trees keep each row's node, so that
+    rows need not be sent through the trees again at every level."""
+    deepest = DEEPEST_TREE if depth is None else depth
     estimator = RandomForestClassifier(
-        numTrees=trees, maxDepth=DEEPEST_TREE if depth is None else depth,
-        minInstancesPerNode=max(1, min_split // 2), seed=seed, featureSubsetStrategy="sqrt",
+        numTrees=trees, maxDepth=deepest, minInstancesPerNode=max(1, min_split // 2), seed=seed,
+        featureSubsetStrategy="sqrt", maxMemoryInMB=1024, cacheNodeIds=deepest > 15,
     )
     return estimator.setWeightCol("weight") if class_weight == "balanced" else estimator
 
@@ -74,7 +76,7 @@ def grid_settings(grid: dict[str, tuple] | None = None) -> list[dict]:
 
 
 def grid_search(train: DataFrame, row_id: str, settings: list[dict] | None = None,
-                folds: int = fixed.FOLDS, parallelism: int = 2) -> tuple[Model, DataFrame]:
+                folds: int = fixed.FOLDS, parallelism: int = 4) -> tuple[Model, DataFrame]:
     """Cross-validated accuracy per setting, and the best setting fitted on all rows.
 
     Weighted and unweighted settings are two estimators, so each setting is its own

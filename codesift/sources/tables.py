@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from codesift import fixed_values as fixed
@@ -18,6 +19,14 @@ SNIPPET_SCHEMA = (
 FILE_SCHEMA = "path string, content binary, length long"
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of a few rows that is part of the plan, so its size is known to Spark."""
+    names = [column.split()[0] for column in schema.split(",")]
+    columns = zip(*rows) if rows else [[] for _ in names]
+    return spark.createDataFrame(
+        pa.table({name: list(column) for name, column in zip(names, columns)}), schema)
+
+
 def snippet_rows() -> list[tuple]:
     """Vulnerable snippets, safe snippets, then known weaknesses."""
     rows = [(code, 1, cwe, language, None) for code, cwe, language in fixed.VULNERABLE_SNIPPETS]
@@ -30,13 +39,13 @@ def snippet_rows() -> list[tuple]:
 
 
 def snippet_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(snippet_rows(), SNIPPET_SCHEMA)
+    return small_table(spark, snippet_rows(), SNIPPET_SCHEMA)
 
 
 def known_weaknesses(spark: SparkSession) -> DataFrame:
     """The built-in knowledge base; every entry is a vulnerable sample."""
     rows = [(*entry, 1) for entry in fixed.KNOWN_WEAKNESSES]
-    return spark.createDataFrame(rows, KNOWLEDGE_BASE_SCHEMA)
+    return small_table(spark, rows, KNOWLEDGE_BASE_SCHEMA)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -96,6 +96,20 @@ def test_golden_sources(spark):
         ("runtime", 1, "CWE-78;CWE-95"), ("clean", 0, "None")}
 
 
+def test_golden_snippets(spark):
+    """Rules against the labels of the built-in snippets."""
+    from codesift.sources.tables import snippet_table
+
+    rows = findings.with_findings(snippet_table(spark), code="snippet").collect()
+    known = [r["danger_count"] for r in rows if r["cve_id"]]
+    samples = [r for r in rows if not r["cve_id"]]
+    hit_bad = [r["danger_count"] for r in samples if r["is_vulnerable"] and r["danger_count"]]
+    hit_safe = [r["snippet"] for r in samples if not r["is_vulnerable"] and r["danger_count"]]
+    assert known == [1, 1, 1, 1]
+    assert (len(hit_bad), sum(hit_bad)) == (12, 13)
+    assert len(hit_safe) == 1 and hit_safe[0].startswith("fgets(")
+
+
 def test_null_code_has_no_findings(spark):
     df = spark.createDataFrame([(None,)], "code string")
     row = findings.with_findings(df).first()
