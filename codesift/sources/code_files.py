@@ -35,6 +35,8 @@ _ARROW = pa.schema([("path", pa.string()), ("content", pa.binary()), ("length",
 
 def filesystem_of(path: str) -> tuple[fs.FileSystem, str]:
     """The file system a path or URI names, and the path on it."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path

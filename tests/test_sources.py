@@ -92,6 +92,8 @@ def test_code_files_policies(spark, tmp_path):
     assert names(single, root) == {"repo/e.txt"}
     by_uri = code_files.read_code_files(spark, f"file://{root}/", "mining").collect()
     assert {r["path"] for r in by_uri} == {f"file://{root}/{n}" for n in mined}
+    short = code_files.read_code_files(spark, f"file:{root}", "mining").collect()
+    assert {r["path"] for r in short} == {f"file:{root}/{n}" for n in mined}
     # Folders left to the tasks give the same files.
     few = code_files.read_code_files(spark, root, "mining", folders="1")
     assert names(few, root) == mined and few.rdd.getNumPartitions() == 2
