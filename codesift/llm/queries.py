@@ -7,7 +7,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from codesift.llm import packing
+from codesift.llm import neardup, packing
 from codesift.llm.common import table
 from codesift.session import ship_package
 
@@ -27,4 +27,9 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
                           public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op7_packing,)}
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of near-duplicates of every document."""
+    return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+QUERIES = {q.__name__: _shipped(q) for q in (op7_packing, op9_near_duplicates)}

@@ -1,3 +1,34 @@
 """DuckDB SQL that must give the rows of the queries."""
 
-TWINS: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_OP9 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE
+    WHEN len(words) = 0 THEN []
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3),
+      lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+  FROM w),
+n AS (SELECT doc_id, len(shingles) AS n FROM s),
+u AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM u x JOIN u y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * shared >= 75 * (na.n + nb.n - shared)),
+r AS (
+  SELECT doc_id AS a, doc_id AS b FROM n
+  UNION
+  SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
+FROM n JOIN c ON n.doc_id = c.doc_id
+"""
+
+TWINS: dict[str, str] = {"op9_near_duplicates": _OP9}
