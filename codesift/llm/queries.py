@@ -6,8 +6,9 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from codesift.llm import neardup, packing
+from codesift.llm import linededup, neardup, packing
 from codesift.llm.common import table
 from codesift.session import ship_package
 
@@ -27,9 +28,16 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
                           public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document, how many recur elsewhere, and the digest of what is left."""
+    out = linededup.without_recurring_lines(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", "kept",
+                      F.sha2("clean_text", 256).alias("clean_sha256"))
+
+
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Component of near-duplicates of every document."""
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op7_packing, op9_near_duplicates)}
+QUERIES = {q.__name__: _shipped(q) for q in (op7_packing, op8_line_dedup, op9_near_duplicates)}

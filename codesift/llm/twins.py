@@ -31,4 +31,34 @@ SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS
 FROM n JOIN c ON n.doc_id = c.doc_id
 """
 
-TWINS: dict[str, str] = {"op9_near_duplicates": _OP9}
+_OP8 = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+l AS (
+  SELECT doc_id, unnest(lines) AS text, generate_subscripts(lines, 1) - 1 AS line FROM d),
+k AS (
+  SELECT doc_id, line, list_transform(regexp_extract_all(text, '[^\x20\x09\x0B-\x0D]+'),
+    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens FROM l),
+t AS (
+  SELECT *, (len(tokens), tokens[1:4]) AS leaf,
+    first_value(tokens) OVER (
+      PARTITION BY len(tokens), tokens[1:4] ORDER BY doc_id, line) AS seed
+  FROM k WHERE len(tokens) >= 5),
+n AS (
+  SELECT *, CASE WHEN 100 * len(list_filter(list_zip(tokens, seed), lambda z: z[1] = z[2]))
+    >= 70 * len(tokens) THEN seed ELSE tokens END AS template FROM t),
+g AS (SELECT *, min(doc_id) OVER (PARTITION BY leaf, template) AS home FROM n),
+x AS (SELECT doc_id, line FROM g WHERE doc_id > home),
+r AS (
+  SELECT l.doc_id, string_agg(l.text, chr(10) ORDER BY l.line) AS clean
+  FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.line = x.line
+  WHERE x.line IS NULL GROUP BY l.doc_id),
+c AS (SELECT doc_id, count(*) AS n_dropped FROM x GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN len(d.lines) = 1 AND d.lines[1] = '' THEN 0
+    ELSE coalesce(len(d.lines), 0) END AS n_lines,
+  coalesce(c.n_dropped, 0) AS n_dropped,
+  c.n_dropped IS NULL OR regexp_matches(coalesce(r.clean, ''), '[^\x20\x09-\x0D]') AS kept,
+  CASE WHEN d.lines IS NULL THEN NULL ELSE sha256(coalesce(r.clean, '')) END AS clean_sha256
+FROM d LEFT JOIN r ON d.doc_id = r.doc_id LEFT JOIN c ON d.doc_id = c.doc_id
+"""
+
+TWINS: dict[str, str] = {"op8_line_dedup": _OP8, "op9_near_duplicates": _OP9}
