@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import linededup, neardup, packing
+from codesift.llm import langid, linededup, mixing, neardup, packing
 from codesift.llm.common import table
-from codesift.session import ship_package
+from codesift.session import ship_package, written
 
 
 def _shipped(query):
@@ -22,6 +22,19 @@ def _shipped(query):
     return run
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return langid.identified(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as often as it is drawn, with its epoch, block and the block's turn."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    drawn = written(mixing.drawn(docs).drop("text"), "drawn")
+    return mixing.in_turn(drawn).select("doc_id", "source", "n_tokens", "epoch", "block", "turn")
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's token ids, placed in sequences of 2048."""
     return packing.packed(table(spark, folder, "documents"),
@@ -40,4 +53,4 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op7_packing, op8_line_dedup, op9_near_duplicates)}
+QUERIES = {q.__name__: _shipped(q) for q in (op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates)}
