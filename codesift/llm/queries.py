@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import langid, linededup, mixing, neardup, packing
+from codesift.llm import langid, linededup, mixing, neardup, packing, sharding
 from codesift.llm.common import table
 from codesift.session import ship_package, written
 
@@ -22,6 +22,11 @@ def _shipped(query):
     return run
 
 
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in one of 8 shards of near equal bytes, equal texts together."""
+    return sharding.sharded(table(spark, folder, "documents"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -53,4 +58,4 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates)}
+QUERIES = {q.__name__: _shipped(q) for q in (op2_sharding, op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates)}
