@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import langid, linededup, mixing, neardup, packing, sharding
+from codesift.llm import langid, linededup, mixing, neardup, packing, quality, sharding
 from codesift.llm.common import table
 from codesift.session import ship_package, written
 
@@ -58,4 +58,13 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op2_sharding, op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates)}
+def op10_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule measures of every document, and whether it and its source pass."""
+    found = quality.judged(table(spark, folder, "documents"), "source")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                        "n_repeat_words", "base_failed", "kept",
+                        F.col("docs").alias("host_docs"), F.col("short").alias("host_short"),
+                        F.col("repeats").alias("host_repeats"))
+
+
+QUERIES = {q.__name__: _shipped(q) for q in (op2_sharding, op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules)}

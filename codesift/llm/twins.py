@@ -61,4 +61,54 @@ SELECT d.doc_id, CASE WHEN len(d.lines) = 1 AND d.lines[1] = '' THEN 0
 FROM d LEFT JOIN r ON d.doc_id = r.doc_id LEFT JOIN c ON d.doc_id = c.doc_id
 """
 
-TWINS: dict[str, str] = {"op8_line_dedup": _OP8, "op9_near_duplicates": _OP9}
+_RATES = "\n".join(f"""
+, m_{r} AS (SELECT sum({r})::DOUBLE / sum(docs) AS mean, sum(docs) AS total, count(*) AS n,
+    sum(docs::DOUBLE * docs) AS squares FROM h)
+, c_{r} AS (SELECT any_value(mean) AS mean, CASE
+    WHEN any_value(mean) * (1 - any_value(mean)) > 0 AND any_value(n) > 1
+    THEN least(greatest((sum(docs * pow({r} / docs - mean, 2))
+        - any_value(mean) * (1 - any_value(mean)) * (any_value(n) - 1))
+      / (any_value(mean) * (1 - any_value(mean))
+        * (any_value(total) - any_value(squares) / any_value(total) - (any_value(n) - 1))),
+      1e-6), 1.0) ELSE 1e-6 END AS rho FROM h, m_{r})
+, r_{r} AS (SELECT source, ({r} + mean * (1 / rho - 1)) / (docs + 1 / rho - 1) AS rate
+    FROM h, c_{r})""" for r in ("short", "repeats", "symbols", "copied"))
+
+_OP10 = f"""
+WITH w AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents),
+t AS (SELECT doc_id, unnest(range(1, len(words) - 1)) AS i,
+    unnest(list_transform(range(1, len(words) - 1),
+      lambda i: array_to_string(words[i:i + 2], ' '))) AS tri FROM w),
+d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, tri) AS many FROM t),
+p AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words
+  FROM d, (SELECT unnest([0, 1, 2]) AS o) WHERE many > 1 GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+  WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id),
+f AS (
+  SELECT w.doc_id, source, len(words)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(n_lines, 0) AS n_lines
+  FROM w LEFT JOIN p ON w.doc_id = p.doc_id LEFT JOIN l ON w.doc_id = l.doc_id),
+h AS (
+  SELECT source, count(*) AS docs, count(*) FILTER (n_words < 50) AS short,
+    count(*) FILTER (100 * n_repeat_words > 50 * n_words) AS repeats,
+    count(*) FILTER (10 * n_symbols > n_words) AS symbols,
+    count(*) FILTER (100 * n_dup_lines > 30 * n_lines) AS copied
+  FROM f GROUP BY source)
+{_RATES}
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+    AND greatest(r_short.rate, r_repeats.rate, r_symbols.rate, r_copied.rate) < 0.5 AS kept,
+  h.docs AS host_docs, h.short AS host_short, h.repeats AS host_repeats
+FROM f JOIN h USING (source) JOIN r_short USING (source) JOIN r_repeats USING (source)
+JOIN r_symbols USING (source) JOIN r_copied USING (source)
+"""
+
+TWINS: dict[str, str] = {"op8_line_dedup": _OP8, "op9_near_duplicates": _OP9,
+                          "op10_host_rules": _OP10}
