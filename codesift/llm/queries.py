@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import langid, linededup, mixing, neardup, packing, quality, sharding
+from codesift.llm import langid, linededup, mixing, neardup, packing, quality, sharding, syncmers
 from codesift.llm.common import table
 from codesift.session import ship_package, written
 
@@ -27,6 +27,11 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed-syncmer fingerprints of every document, its edit, and their likeness."""
+    return syncmers.fingerprints(table(spark, folder, "documents"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -67,4 +72,4 @@ def op10_host_rules(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("repeats").alias("host_repeats"))
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op2_sharding, op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules)}
+QUERIES = {q.__name__: _shipped(q) for q in (op2_sharding, op3_fingerprints, op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules)}
