@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import langid, linededup, mixing, neardup, packing, quality, sharding, syncmers
+from codesift.llm import langid, linededup, mixing, neardup, packing, quality, rollups, secrets, sharding, syncmers
 from codesift.llm.common import table
-from codesift.session import ship_package, written
+from codesift.session import new_path, ship_package, written
 
 
 def _shipped(query):
@@ -22,6 +22,38 @@ def _shipped(query):
     return run
 
 
+def op1_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Token totals after loading all documents, deleting copies, revising the counts of
+    texts that repeat lines, adding a second tokenizer, and one batch coming twice."""
+    docs = written(rollups.counted(table(spark, folder, "documents")), "counted")
+    totals = rollups.TokenTotals(spark, new_path(spark, "totals"))
+    totals.commit("load", rollups.change("insert", docs, "words-1", F.col("all_words")))
+    firsts = docs.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc_id").alias("_first"))
+    known = written(docs.join(firsts, F.col("digest") == F.col("_digest"), "left").withColumn(
+        "copy", F.coalesce(F.col("_first") < F.col("doc_id"), F.lit(False))), "known")
+    copies, rest = known.filter("copy"), known.filter("not copy")
+    deletes = rollups.change("delete", copies, "words-1", F.col("all_words"))
+    totals.commit("copies", deletes)
+    totals.commit("lines", rollups.change(
+        "revise", rest.filter("words <> all_words"), "words-1", F.col("words"), F.col("all_words")))
+    totals.compact()
+    totals.commit("copies", deletes)
+    totals.commit("second", rollups.change("insert", rest, "words-2", F.col("parts")))
+    return totals.totals()
+
+
+def op4_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every candidate secret of the documents, and whether the forest keeps it."""
+    found = written(secrets.candidates(
+        table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+        "source"), "candidates")
+    model = secrets.trained(found.withColumn("label", secrets.format_label(
+        F.col("value"), F.col("before"))))
+    return secrets.scored(found, model).select(
+        "doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"),
+        "probability", "is_secret")
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in one of 8 shards of near equal bytes, equal texts together."""
     return sharding.sharded(table(spark, folder, "documents"))
@@ -72,4 +104,4 @@ def op10_host_rules(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("repeats").alias("host_repeats"))
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op2_sharding, op3_fingerprints, op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules)}
+QUERIES = {q.__name__: _shipped(q) for q in (op1_token_rollup, op4_secret_forest, op2_sharding, op3_fingerprints, op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules)}

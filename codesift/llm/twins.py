@@ -110,5 +110,22 @@ FROM f JOIN h USING (source) JOIN r_short USING (source) JOIN r_repeats USING (s
 JOIN r_symbols USING (source) JOIN r_copied USING (source)
 """
 
-TWINS: dict[str, str] = {"op8_line_dedup": _OP8, "op9_near_duplicates": _OP9,
+_OP1 = f"""
+WITH d AS (
+  SELECT doc_id, source, lang, text, min(doc_id) OVER (PARTITION BY text) < doc_id AS copy,
+    array_to_string(list_transform(list_filter(list_zip(string_split(text, chr(10)),
+        range(1, len(string_split(text, chr(10))) + 1)),
+      lambda z: list_position(string_split(text, chr(10)), z[1]) = z[2]), lambda z: z[1]),
+      chr(10)) AS lines
+  FROM documents)
+SELECT source, lang, 'words-1' AS tokenizer, count(*) AS documents,
+  sum(len(regexp_extract_all(lines, '{_WORD}')))::BIGINT AS tokens
+FROM d WHERE NOT copy GROUP BY ALL
+UNION ALL
+SELECT source, lang, 'words-2', count(*),
+  sum(len(regexp_extract_all(lines, '[\\p{{L}}\\p{{N}}]+|[^\\x20\\x09-\\x0D\\p{{L}}\\p{{N}}]')))::BIGINT
+FROM d WHERE NOT copy GROUP BY ALL
+"""
+
+TWINS: dict[str, str] = {"op1_token_rollup": _OP1, "op8_line_dedup": _OP8, "op9_near_duplicates": _OP9,
                           "op10_host_rules": _OP10}
