@@ -225,7 +225,11 @@ def held_out(doc_id):
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``held_out, lang_pred, score``, learned from the rows not held out."""
+    """``docs`` with ``held_out, lang_pred, score``, learned from the rows not held out.
+
+    Columns of these names are replaced.
+    """
+    docs = docs.drop("held_out", "lang_pred", "score")
     learning = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     filters = learn(learning)
     return predicted(docs, filters).withColumn("held_out", held_out(F.col("doc_id")))

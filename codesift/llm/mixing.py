@@ -150,13 +150,14 @@ def drawn(docs: DataFrame, lift: float = LIFT, max_repeats: float = MAX_REPEATS,
     sized = written(sized, "sized")
     blocks = blocks_for(sized.count())
     rule = written(rules(in_blocks(sized, blocks), lift, max_repeats, budget), "rules").select(
-        F.col("source").alias("_source"), "full", "cut_block", "cut_doc")
+        F.col("source").alias("_source"), F.col("full").alias("_full"),
+        F.col("cut_block").alias("_cut_block"), F.col("cut_doc").alias("_cut_doc"))
     rows = in_blocks(docs.withColumn("n_tokens", word_count(F.col("text"))), blocks).join(
         rule, F.col("source").eqNullSafe(F.col("_source")))
-    key = _block_key(F.col("full"))
-    more = F.coalesce((key < F.col("cut_block")) | ((key == F.col("cut_block")) & F.coalesce(
-        _doc_key(F.col("full")) <= F.col("cut_doc"), F.lit(False))), F.lit(False))
-    times = F.col("full") + more.cast("int")
+    key = _block_key(F.col("_full"))
+    more = F.coalesce((key < F.col("_cut_block")) | ((key == F.col("_cut_block")) & F.coalesce(
+        _doc_key(F.col("_full")) <= F.col("_cut_doc"), F.lit(False))), F.lit(False))
+    times = F.col("_full") + more.cast("int")
     epochs = F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>"))
     return rows.withColumn("epoch", F.explode(epochs)).select(
         *docs.columns, "n_tokens", "block", "epoch")
