@@ -19,14 +19,16 @@ table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesift.llm.common import let
 
-K = 16
-S = 9
-_INNER = K - S + 1  # a power of two
+K = 20
+S = 5
+_INNER = K - S + 1  # a multiple of four
 _LOW = 0xFFFFFFFF
 _FIRST_KEY = -(2**63)
 
@@ -35,12 +37,8 @@ def _shifted(values: Column, by: int) -> Column:
     return F.slice(values, F.lit(by + 1), F.greatest(F.size(values) - by, F.lit(0)))
 
 
-def _smallest(hashes: Column, body, width: int = 1) -> Column:
-    """``body`` of the least of each ``_INNER`` neighbouring hashes, by doubling."""
-    if width == _INNER:
-        return body(hashes)
-    return let(F.zip_with(hashes, _shifted(hashes, width), lambda x, y: F.least(x, y)),
-               lambda wider: _smallest(wider, body, 2 * width))
+def _least(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: F.least(x, y))
 
 
 def anchors(raw: Column) -> Column:
@@ -51,15 +49,25 @@ def anchors(raw: Column) -> Column:
         inner = F.transform(F.sequence(F.lit(1), n - S + 1),
                             lambda i: F.xxhash64(F.substring(text, i, F.lit(S))))
 
-        def chosen(h: Column) -> Column:
-            edges = F.zip_with(h, _shifted(h, _INNER - 1), lambda x, y: F.least(x, y))
-            return _smallest(h, lambda least: let(
-                F.zip_with(edges, least, lambda x, y: x == y), lambda hit: F.transform(
-                    F.filter(F.sequence(F.lit(1), n - K + 1), lambda i: F.get(hit, i - 1)),
-                    lambda i: F.shiftleft((i - 1).cast("long"), 32).bitwiseOR(
-                        F.hash(F.substring(text, i, F.lit(K))).cast("long").bitwiseAND(F.lit(_LOW))))))
-
-        return F.when(n >= K, let(inner, chosen)).otherwise(F.array().cast("array<long>"))
+        def chosen(edges: Column, fours: Column) -> Column:
+            # The smaller edge is the least of all inner runs: of each four, one after the
+            # other, which most places fail at once.
+            def closed(i: Column) -> Column:
+                edge = F.get(edges, i - 1)
+                tests = [edge <= F.get(fours, i + (j - 1)) for j in range(0, _INNER, 4)]
+                return reduce(lambda x, y: x & y, tests)
+
+            return F.transform(
+                F.filter(F.sequence(F.lit(1), n - K + 1), closed),
+                lambda i: F.shiftleft((i - 1).cast("long"), 32).bitwiseOR(
+                    F.hash(F.substring(text, i, F.lit(K))).cast("long").bitwiseAND(F.lit(_LOW))))
+
+        def of_hashes(h: Column) -> Column:
+            return let(_least(h, _shifted(h, _INNER - 1)), lambda edges: let(
+                _least(h, _shifted(h, 1)), lambda twos: let(
+                    _least(twos, _shifted(twos, 2)), lambda fours: chosen(edges, fours))))
+
+        return F.when(n >= K, let(inner, of_hashes)).otherwise(F.array().cast("array<long>"))
 
     return let(raw, of)
 
