@@ -9,6 +9,7 @@ spelling of that.
 from __future__ import annotations
 
 import re
+from re import _constants, _parser
 
 from codesift.functions.text import SPACE_CLASS, WORD_CLASS
 
@@ -26,6 +27,28 @@ def literal_text(pattern: str) -> str | None:
     return None
 
 
+def needed_text(pattern: str) -> str | None:
+    """The longest text that every match of a pattern holds, of equal ones the last, if any.
+
+    Only what stands in a row at the top of the pattern counts: not what may be absent,
+    repeats or has alternatives. Under ``(?i)`` letters may differ in case and are left out.
+    """
+    parsed = _parser.parse(pattern)
+    folds = bool(parsed.state.flags & re.IGNORECASE)
+    best = run = ""
+    for kind, value in parsed:
+        fixed = kind is _constants.LITERAL and not (folds and chr(value).isalpha())
+        one_of = kind is _constants.IN and len(value) == 1 and value[0][0] is _constants.LITERAL
+        if fixed:
+            run += chr(value)
+        elif one_of and not (folds and chr(value[0][1]).isalpha()):
+            run += chr(value[0][1])
+        else:
+            run = ""
+        best = run if len(run) >= len(best) and run else best
+    return best or None
+
+
 def _spelled(pattern: str, java: bool) -> str:
     out, in_class, i = [], False, 0
     while i < len(pattern):

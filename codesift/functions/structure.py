@@ -4,12 +4,13 @@ Spark has no expression for a syntax tree, so one Arrow-batched function parses
 each text once and gives both numbers. Text that does not parse gives nulls,
 and the caller falls back to built-in columns.
 
-Complexity counts decision points after McCabe (1976). Blocks are top-level
-functions, top-level classes and their methods. A function counts one plus its
-decision points, those of nested functions included. A class counts the mean of
-its methods, rounded down, plus one if it has more than one; a class without
-methods counts one plus its decision points. The result is the mean over blocks
-and null when there is no block.
+Complexity counts decision points after McCabe (1976), by a rule of our own. Blocks are
+functions and classes of the module, also those inside its statements (``if``, ``try``
+and so on), and the methods of classes. A function counts one plus its decision points;
+functions, classes and lambdas within it count for themselves or not at all. A class
+counts the mean of its methods, rounded down, plus one; a class without methods counts
+one plus its decision points. The result is the mean over blocks and null when there is
+no block.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from pyspark.sql import types as T
 
 from codesift.functions.text import brace_depth
 
-_ONE_POINT = (ast.If, ast.IfExp, ast.Assert, ast.Lambda, ast.With, ast.AsyncWith)
+_ONE_POINT = (ast.If, ast.IfExp, ast.Assert, ast.With, ast.AsyncWith)
 _LOOPS = (ast.For, ast.AsyncFor, ast.While)
 _FUNCTIONS = (ast.FunctionDef, ast.AsyncFunctionDef)
+_SCOPES = (*_FUNCTIONS, ast.ClassDef, ast.Lambda)
 
 
 def _depth(tree: ast.AST) -> int:
@@ -54,19 +56,29 @@ def _points(node: ast.AST) -> int:
     return 0
 
 
+def _within(node: ast.AST) -> Iterator[ast.AST]:
+    """What stands in a node, scopes included but not entered."""
+    waiting = list(ast.iter_child_nodes(node))
+    while waiting:
+        inner = waiting.pop()
+        yield inner
+        if not isinstance(inner, _SCOPES):
+            waiting.extend(ast.iter_child_nodes(inner))
+
+
 def _decisions(node: ast.AST) -> int:
-    return sum(map(_points, ast.walk(node)))
+    return sum(map(_points, _within(node)))
 
 
 def _complexity(tree: ast.Module) -> float | None:
     blocks = []
-    for node in tree.body:
+    for node in _within(tree):
         if isinstance(node, _FUNCTIONS):
             blocks.append(1 + _decisions(node))
         elif isinstance(node, ast.ClassDef):
-            methods = [1 + _decisions(m) for m in node.body if isinstance(m, _FUNCTIONS)]
+            methods = [1 + _decisions(m) for m in _within(node) if isinstance(m, _FUNCTIONS)]
             if methods:
-                blocks.append(sum(methods) // len(methods) + (len(methods) > 1))
+                blocks.append(sum(methods) // len(methods) + 1)
             else:
                 blocks.append(1 + _decisions(node))
             blocks.extend(methods)

@@ -28,8 +28,6 @@ FINDING_TYPE = (
 METADATA = ("type", "severity", "cwe", "owasp", "description", "remediation")
 # Characters that most rules hold and many lines do not.
 _MARKS = "(=+."
-# A rule table up to this many rows is broadcast to the findings.
-BROADCAST_RULES = 10_000
 
 
 def may_hit(value: Column, rules: list[Rule]) -> Column:
@@ -88,17 +86,11 @@ def hit_rows(df: DataFrame, keys: list[str], rules: DataFrame | list[Rule] | Non
 def with_rule_metadata(hits: DataFrame, rules: DataFrame | list[Rule] | None = None) -> DataFrame:
     """Join type, severity and the other rule columns on ``rule_id``.
 
-    The rules are broadcast if there are few, by count; else it is a plain join,
-    which adaptive execution splits where one rule has most of the hits.
+    A plain join: Spark broadcasts the rules where they are small, and adaptive execution
+    splits a rule that has most of the hits.
     """
-    if isinstance(rules, DataFrame):
-        table = rules
-        few = rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
-    else:
-        table = rule_table(hits.sparkSession, rules)
-        few = rules is None or len(rules) <= BROADCAST_RULES
-    table = table.drop("pattern")
-    return hits.join(F.broadcast(table) if few else table, "rule_id")
+    table = rules if isinstance(rules, DataFrame) else rule_table(hits.sparkSession, rules)
+    return hits.join(table.drop("pattern"), "rule_id")
 
 
 def finding_rows(df: DataFrame, keys: list[str],

@@ -7,7 +7,6 @@ called from a notebook or through ``python -m codesift``.
 from __future__ import annotations
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import LinearSVC
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,7 +75,8 @@ def training_analysis(train_rows: DataFrame, test_rows: DataFrame,
                       row_id: str = "row_id") -> dict[str, Tables]:
     """Learning curves of a forest and a linear SVM over train and test rows together."""
     rows = train_rows.unionByName(test_rows)
-    estimators = {"Random Forest": training.forest(trees=100), "SVM": LinearSVC()}
+    estimators = {"Random Forest": training.forest(trees=100),
+                  "SVM": training.linear_svm(rows.count())}
     return {name: learning_curve(rows, e, row_id) for name, e in estimators.items()}
 
 
@@ -90,10 +90,10 @@ def scan(spark: SparkSession, root: str, models: str, out: str,
     """Files below ``root`` to a scan report at ``out``, and the tables of it."""
     forest, feature_model = evaluating.load_models(models)
     target = scanning.scan_target(spark, root)
-    results = scanning.scan_results(scanning.readable(target), forest, feature_model, rules)
+    results = scanning.scan_results(target, forest, feature_model, rules)
     scan_reports.write_report(results, out)
     return {**report_tables(scan_reports.read_results(spark, out)),
-            "errors": scanning.errors(target)}
+            "errors": scan_reports.read_errors(spark, out)}
 
 
 def report_tables(results: DataFrame) -> Tables:

@@ -56,16 +56,21 @@ def scan_results(files: DataFrame, model: Transformer, features: PipelineModel |
 
     ``model`` is any fitted transformer that gives ``prediction`` and either
     ``probability`` or ``score``; ``features`` makes its input. All steps work
-    within the row, so a scan shuffles nothing and also runs on a stream.
+    within the row, so a scan shuffles nothing and also runs on a stream. Where ``files`` has
+    an ``error``, rows with one keep it and get no verdict.
     """
     rows = prepared(files, rules)
     vectors = features.transform(rows) if features is not None else rows
     predicted = scores(model.transform(vectors))
+    verdict = {
+        "status": text.status(F.col("prediction")), "confidence": F.col("score"),
+        "details": F.col("details"),
+        "timestamp": text.timestamp_text(F.current_timestamp()),
+    }
+    if "error" not in files.columns:
+        return with_details(predicted).select("file", *[c.alias(n) for n, c in verdict.items()])
     return with_details(predicted).select(
-        "file", text.status(F.col("prediction")).alias("status"),
-        F.col("score").alias("confidence"), "details",
-        text.timestamp_text(F.current_timestamp()).alias("timestamp"),
-    )
+        "file", *[F.when(F.col("error").isNull(), c).alias(n) for n, c in verdict.items()], "error")
 
 
 def api_rows(results: DataFrame) -> DataFrame:

@@ -139,19 +139,32 @@ def _with_margin(scored: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=["_margin"], outputCol="margin").transform(raw).drop("_margin")
 
 
+def linear_svm(rows: int, max_iter: int = 50) -> LinearSVC:
+    """A soft-margin SVM of cost 1 over features as they are.
+
+    The cost of a row against the margin is 1 in the sum over rows; MLlib takes the mean,
+    so the penalty is 1 over the number of rows.
+    """
+    return LinearSVC(weightCol="weight", maxIter=max_iter, regParam=1.0 / max(rows, 1),
+                     standardization=False)
+
+
 def calibrated_svm(train: DataFrame, row_id: str, folds: int = fixed.FOLDS,
                    max_iter: int = 50) -> CalibratedSvm:
     """Balanced linear SVM; probabilities after Platt (1999) from out-of-fold margins."""
-    data = written(with_class_weight(with_folds(train, row_id, "label", folds)), "folds")
-    estimator = LinearSVC(weightCol="weight", maxIter=max_iter)
+    data = written(with_folds(train, row_id, "label", folds), "folds")
+
+    def fitted_on(rows: DataFrame):
+        return linear_svm(rows.count(), max_iter).fit(with_class_weight(rows))
+
     margins = None
     for fold in range(folds):
-        fitted = estimator.fit(data.filter(F.col("fold") != fold))
+        fitted = fitted_on(data.filter(F.col("fold") != fold))
         part = _with_margin(fitted.transform(data.filter(F.col("fold") == fold))).select(
             "label", "margin")
         margins = part if margins is None else margins.unionByName(part)
     curve = LogisticRegression(featuresCol="margin").fit(margins)
-    return CalibratedSvm(estimator.fit(data), curve)
+    return CalibratedSvm(fitted_on(data), curve)
 
 
 def accuracy_share() -> Column:

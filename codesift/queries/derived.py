@@ -11,7 +11,6 @@ from codesift.plans import corpus as corpus_plan
 from codesift.plans.training import forest, split_features
 from codesift.session import new_path
 from codesift.sources.code_files import write_code_files
-from codesift.sources.tables import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents"), "doc_id")
+    return table(spark, folder, "documents")
 
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,7 +14,7 @@ from codesift.functions.structure import with_structure
 from codesift.operators import distributions, drift, metrics, ranking, report, samples, tfidf
 from codesift.operators import findings as scan
 from codesift.operators.rules import rule_table
-from codesift.plans import embedding, evaluating, explaining, features, mining, scanning, training
+from codesift.plans import evaluating, explaining, features, mining, scanning, training
 from codesift.queries.derived import (
     corpus,
     documents,
@@ -185,6 +185,25 @@ def code_structure(spark, folder):
     return measured.select("doc_id", "ast_depth", _round("complexity"))
 
 
+@query
+def generated_structure(spark, folder):
+    """Functions whose nesting and branches follow from columns of the documents.
+
+    A third stands under an ``if``, a third is the one method of a class.
+    """
+    nested, flat = (F.col("doc_id") % 4 + 1).cast("int"), (F.col("n_chars") % 5).cast("int")
+    shift = F.when(F.col("doc_id") % 3 > 0, "    ").otherwise("")
+    head = F.when(F.col("doc_id") % 3 == 1, "if True:\n").when(
+        F.col("doc_id") % 3 == 2, "class C:\n").otherwise("")
+    one = F.concat(shift, F.lit("    if x:\n"), shift, F.lit("        pass\n"))
+    deep = F.array_join(F.transform(F.sequence(F.lit(1), nested), lambda i: F.concat(
+        shift, F.repeat(F.lit("    "), i), F.lit("if x:\n"))), "")
+    code = F.concat(head, shift, F.lit("def f(x):\n"), F.repeat(one, flat), deep,
+                    shift, F.repeat(F.lit("    "), nested + 1), F.lit("pass\n"))
+    measured = with_structure(table(spark, folder, "documents").withColumn("code", code))
+    return measured.select("doc_id", *_long("ast_depth"), _round("complexity"))
+
+
 @query
 def snippet_structure(spark, folder):
     measured = with_structure(corpus(spark, folder).select("doc_id", "snippet"), "snippet")
@@ -610,7 +629,7 @@ def _event_halves(spark, folder) -> tuple[DataFrame, DataFrame]:
 def value_drift(spark, folder):
     """Later event values against earlier ones."""
     early, late = _event_halves(spark, folder)
-    checked = drift.drift_check(early.select("value"), late.select("value"), "value", method="limit")
+    checked = drift.drift_check(early.select("value"), late.select("value"), "value")
     return checked.select(_round("d"), *_long("n_base", "n_new"), _round("p_value"),
                           F.col("drift").cast("int").alias("drift"))
 
@@ -618,7 +637,7 @@ def value_drift(spark, folder):
 @query
 def value_drift_by_type(spark, folder):
     early, late = _event_halves(spark, folder)
-    checked = drift.drift_check(early, late, "value", ["event_type"], method="limit")
+    checked = drift.drift_check(early, late, "value", ["event_type"])
     return checked.select("event_type", _round("d"), *_long("n_base", "n_new"), _round("p_value"),
                           F.col("drift").cast("int").alias("drift"))
 
@@ -627,7 +646,7 @@ def value_drift_by_type(spark, folder):
 def value_drift_exact(spark, folder):
     """The same with exact p values, which SQL does not reach."""
     early, late = _event_halves(spark, folder)
-    return drift.drift_check(early, late, "value", ["event_type"])
+    return drift.drift_check(early, late, "value", ["event_type"], method="exact")
 
 
 # --- Learning ----------------------------------------------------------------
@@ -726,14 +745,6 @@ def drift_rehearsal(spark, folder):
     return evaluating.drift_rehearsal(scored)
 
 
-@query
-def default_embeddings(spark, folder):
-    embedded = embedding.with_embedding(corpus(spark, folder).select("doc_id", "code"))
-    return embedded.select(
-        "doc_id", F.size("embedding").cast("long").alias("size"),
-        F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("total"))
-
-
 # --- Streams -----------------------------------------------------------------
 
 def _stream(spark, folder, name) -> DataFrame:
@@ -789,7 +800,7 @@ def streamed_drift(spark, folder):
     counts = jobs.windowed_counts(_stream(spark, folder, "events"), "ts", "value")
     path = new_path(spark, "stream-drift")
     jobs.drift_stream(counts, early.select("value"), "value", path,
-                      new_path(spark, "checkpoint"), method="limit").awaitTermination()
+                      new_path(spark, "checkpoint")).awaitTermination()
     rows = spark.read.parquet(path)
     return rows.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), _round("d"),
                        *_long("n_base", "n_new"), _round("p_value"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from codesift import fixed_values as fixed
 from codesift.functions.patterns import re2_pattern
-from codesift.functions.structure import measure
 from codesift.functions.text import SPACE_CLASS, WORD_CLASS
 from codesift.sources.tables import snippet_rows
 
@@ -84,20 +83,6 @@ def _brace(source: str, key: str, code: str) -> str:
     )
 
 
-def _shapes() -> str:
-    """Depth and complexity of each snippet, by the parser and by counting braces."""
-    rows = []
-    for _, snippet, *_ in snippet_rows():
-        depth, complexity = measure(snippet)
-        if depth is None:
-            depth, level = 0, 0
-            for char in snippet:
-                level = level + 1 if char == "{" else max(0, level - (char == "}"))
-                depth = max(depth, level)
-        rows.append((snippet, depth, str(float(complexity or 1))))
-    return _values(rows)
-
-
 _FOLDERS = "['src', 'my_tests', '.hidden', 'node_modules', 'lib', 'test_cases']"
 _FOLDER = f"{_FOLDERS}[doc_id % 6 + 1]"
 _SCORE = "CAST(doc_id * 37 % 101 AS DOUBLE) / CAST(100 AS DOUBLE)"
@@ -301,10 +286,11 @@ TWINS: dict[str, str] = {
         f"WITH {TOKENS} SELECT token, term_count, doc_count FROM counts",
     "brace_depths": f"WITH {CORPUS}, {_brace('corpus', 'doc_id', 'code')} SELECT * FROM depth",
     "page_brace_depths": f"WITH {_brace('pages', 'page_id', 'html')} SELECT * FROM depth",
-    "snippet_structure":
-        f"WITH {CORPUS}, shape(snippet, ast_depth, complexity) AS (VALUES {_shapes()}) "
-        "SELECT c.doc_id, CAST(s.ast_depth AS BIGINT) AS ast_depth, "
-        "CAST(s.complexity AS DOUBLE) AS complexity FROM corpus c JOIN shape s ON c.snippet = s.snippet",
+    "generated_structure":
+        "SELECT doc_id, CAST(CASE doc_id % 3 WHEN 1 THEN 6 WHEN 2 THEN 6 ELSE 5 END + doc_id % 4 "
+        "AS BIGINT) AS ast_depth, CASE doc_id % 3 "
+        "WHEN 2 THEN (2.0 + n_chars % 5 + doc_id % 4 + 1 + 2 + n_chars % 5 + doc_id % 4) / 2 "
+        "ELSE 2.0 + n_chars % 5 + doc_id % 4 END AS complexity FROM documents",
     "decoded_bytes":
         "SELECT doc_id, md5(text) AS mined, CASE WHEN doc_id % 2 = 0 THEN strlen(text) + 3 "
         "ELSE length(text) END AS scanned_chars FROM documents",
@@ -482,8 +468,6 @@ TWINS: dict[str, str] = {
     "first_rows":
         f"WITH {CORPUS} SELECT doc_id, snippet AS code, is_vulnerable, cwe_id FROM corpus "
         "ORDER BY doc_id LIMIT 5",
-    "default_embeddings":
-        "SELECT doc_id, CAST(768 AS BIGINT) AS size, CAST(0 AS DOUBLE) AS total FROM documents",
     "streamed_findings":
         f"WITH {SCAN} SELECT c.doc_id, count(h.rule_id) AS danger_count FROM corpus c "
         "LEFT JOIN hits h ON c.doc_id = h.doc_id GROUP BY 1",

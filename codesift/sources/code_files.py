@@ -17,6 +17,7 @@ Paths may be local (or on a mounted shared folder) or any URI that
 
 from __future__ import annotations
 
+import os
 import posixpath
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,10 +43,13 @@ def filesystem_of(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), path
 
 
-def enters(policy: str, folder: str) -> bool:
-    """Whether a folder of that name, below the root, is read."""
+def enters(policy: str, folder: str, repository: bool = False) -> bool:
+    """Whether a folder of that name, below the root, is read.
+
+    Folders right below the root of a mining job are repositories, whatever their names.
+    """
     if policy == "mining":
-        return not folder.startswith(".") and "test" not in folder.lower()
+        return repository or (not folder.startswith(".") and "test" not in folder.lower())
     if policy == "scanning":
         return folder not in fixed.SCAN_SKIPPED_DIRECTORIES
     return True
@@ -84,10 +88,24 @@ class CodeFilesReader(DataSourceReader):
         return self.given + path[len(self.root) :]
 
     def _list(self, folder: str) -> tuple[list[str], list[str]]:
+        """Files and folders in a folder; links to folders are not followed.
+
+        A folder that cannot be listed counts as a file, which cannot be read either and so
+        comes out as a null row. Only the root must be there.
+        """
         files, folders = [], []
-        for entry in self.filesystem.get_file_info(fs.FileSelector(folder)):
+        top = folder.rstrip("/") == self.root
+        try:
+            entries = self.filesystem.get_file_info(fs.FileSelector(folder))
+        except OSError:
+            if top:
+                raise
+            return [folder], []
+        local = isinstance(self.filesystem, fs.LocalFileSystem)
+        for entry in entries:
             if entry.type == fs.FileType.Directory:
-                if enters(self.policy, entry.base_name):
+                linked = local and os.path.islink(entry.path)
+                if not linked and enters(self.policy, entry.base_name, top):
                     folders.append(entry.path)
             elif takes(self.policy, self._shown(entry.path), self.extensions):
                 files.append(entry.path)

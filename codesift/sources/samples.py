@@ -96,11 +96,14 @@ def base_samples(spark: SparkSession, base_path: str | None = None,
 
 def load_samples(spark: SparkSession, base_path: str | None = None,
                  mined_path: str | None = None, **external) -> DataFrame:
-    """Base and mined samples together, first copy of each code kept."""
+    """Base and mined samples together, one copy of each code kept.
+
+    A base sample goes before a mined one, and else the smallest row, so the choice does not
+    depend on how files are cut into tasks.
+    """
     parts = [samples.canonical(base_samples(spark, base_path, **external))]
     mined = _readable(read_mined, spark, mined_path) if mined_path else None
     if mined is not None:
         parts.append(mined)
-    numbered = [p.withColumn("row_id", F.monotonically_increasing_id()) for p in parts]
-    merged = samples.union_by_rank(numbered)
-    return samples.deduplicated(merged, ["source_rank", "row_id"]).select(*samples.CANONICAL)
+    merged = samples.union_by_rank(parts)
+    return samples.deduplicated(merged, ["source_rank"]).select(*samples.CANONICAL)

@@ -46,16 +46,3 @@ def known_weaknesses(spark: SparkSession) -> DataFrame:
     """The built-in knowledge base; every entry is a vulnerable sample."""
     rows = [(*entry, 1) for entry in fixed.KNOWN_WEAKNESSES]
     return small_table(spark, rows, KNOWLEDGE_BASE_SCHEMA)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a small table at least one partition per core.
-
-    A table in fewer scan partitions than there are cores leaves cores idle, and
-    is small enough for one cheap shuffle on its unique key. A large table has
-    more scan partitions than that and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df

@@ -18,13 +18,19 @@ RULE_PIECES = PIECES + [
 ]
 
 
+PATTERNS = {i: re.compile(rule[0]) for i, rule in enumerate(fixed.RULES, start=1)}
+
+
 def python_findings(code):
-    return [
-        (number, rule_id)
-        for number, line in enumerate(code.split("\n"), start=1)
-        for rule_id, rule in enumerate(fixed.RULES, start=1)
-        if re.search(rule[0], line)
-    ]
+    """Pairs of line and rule, from every rule's own pass over the text."""
+    found = set()
+    starts = [0, *(at + 1 for at, char in enumerate(code) if char == "\n")]
+    for rule_id, pattern in PATTERNS.items():
+        for number, start in enumerate(starts, start=1):
+            end = code.find("\n", start)
+            if pattern.search(code[start: end if end >= 0 else len(code)]):
+                found.add((number, rule_id))
+    return sorted(found)
 
 
 def random_codes(n, seed):

@@ -19,3 +19,15 @@ def test_fallbacks(spark):
     df = spark.createDataFrame(rows, "code string")
     got = [(r["ast_depth"], r["complexity"]) for r in with_structure(df).collect()]
     assert got == [(2, 1.0), (1, 1.0), (1, 1.0), (4, 1.0)]
+
+
+def test_blocks_inside_statements_and_scopes():
+    code = (
+        "try:\n    def f(x):\n        if x:\n            pass\nexcept E:\n    pass\n"
+        "if a:\n    class C:\n        def m(self):\n            return lambda y: y if y else 0\n")
+    # f counts 2, the class 1 + 1, its method 1: what the lambda decides is not the method's.
+    assert measure(code)[1] == (2 + 2 + 1) / 3
+
+
+def test_nested_functions_are_not_their_outer_ones():
+    assert measure("def f():\n    def g(x):\n        if x:\n            pass\n    return g\n")[1] == 1.0
