@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
-_KEPT_WORDS = 1_000_000
+_KEPT_WORDS = 200_000
 
 
 class _WordHashes(dict):

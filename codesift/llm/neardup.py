@@ -5,10 +5,10 @@ all rows is one row from then on. Each class gets minhashes, cut into several tr
 tree's order of classes is the order of its minhashes. Classes that share the first two
 values of a tree form a region; a crowded region is parted by the next value, as deep as
 the tree goes, and then by hash with a link between the parts. Within a region, neighbours
-in the tree's order share the longest prefixes and become candidates: a few pairs per
-class and tree, never all pairs of a region. Candidates go on by their minhash estimate
-and are confirmed on the whole sets: first the best partner of each class, then every pair that
-still joins two components.
+in the tree's order share the longest prefixes and become candidates by their minhash
+estimate: first the two before a class, of which the best partner is confirmed on the whole
+sets; then, across the components found so far, the ``FAR`` before it, all confirmed. So a
+group of many near copies costs a few pairs for each, never all pairs of a region.
 
 Defined results: a null or wordless text has an empty set and stands alone; a document of
 fewer than ``WIDTH`` words is one shingle; a null doc_id stands alone with a null
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesift.llm.common import components
+from codesift.llm.hashing import ODD, mixed, window_hashes, word_hashes
 from codesift.session import written
 
 WIDTH = 5
@@ -32,32 +33,13 @@ TREES = 16
 DEPTH = 6
 FIRST_DEPTH = 2
 REGION = 256
-NEIGHBOURS = 2
-# Four standard errors of an estimate from TREES * DEPTH minhashes at the threshold.
+NEAR = 2
+FAR = 32
+# Standard errors that an estimate from TREES * DEPTH minhashes may lie below the threshold.
 SLACK = 4.0
-_KEPT_WORDS = 1_000_000
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 4096
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= _KEPT_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
 def words_of(text: bytes) -> list[bytes]:
     """Words of a UTF-8 text, A to Z in lower case."""
     return text.lower().split()
@@ -67,19 +49,13 @@ def shingle_set(words: list[bytes], width: int = WIDTH) -> np.ndarray:
     """The distinct shingles as sorted 64-bit hashes."""
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    span = min(width, len(words))
-    many = len(words) - span + 1
-    total = np.full(many, span, np.uint64)
-    for i in range(span):
-        total = total * _ODD + hashes[i: i + many]
-    return np.unique(_mixed(total))
+    return np.unique(window_hashes(word_hashes(words), min(width, len(words))))
 
 
 def _keys() -> tuple[np.ndarray, np.ndarray]:
     """One xor and one odd factor per minhash, from a fixed rule."""
     n = TREES * DEPTH
-    base = _mixed(np.arange(1, 2 * n + 1, dtype=np.uint64) * _ODD)
+    base = mixed(np.arange(1, 2 * n + 1, dtype=np.uint64) * ODD)
     return base[:n, None], base[n:, None] | np.uint64(1)
 
 
@@ -152,32 +128,40 @@ def _regions(classes: DataFrame) -> DataFrame:
         split.select("id", "n", "tree", "region", "rest"))
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Distinct candidate pairs ``a < b`` of neighbours in some tree, by size and region.
-
-    A pair whose sizes alone rule the threshold out is left away.
-    """
-    order = Window.partitionBy("region").orderBy("rest", "id")
+def ordered(classes: DataFrame) -> DataFrame:
+    """``id, n, short, region, rest``: classes in their regions, with short minhashes."""
+    short = classes.select(F.col("id").alias("_id"), F.transform(
+        "minhash", lambda x: x.bitwiseAND(F.lit(0x7F)).cast("byte")).alias("short"))
     rows = _regions(classes).select("id", "n", "region", "rest")
-    for i in range(1, NEIGHBOURS + 1):
-        rows = rows.withColumn(f"_p{i}", F.lag(F.struct("id", "n"), i).over(order))
-    pairs = rows.select("id", "n", F.explode(F.array(
-        *[F.col(f"_p{i}") for i in range(1, NEIGHBOURS + 1)])).alias("p")).filter(
-        "p is not null and p.id <> id").filter(
-        100 * F.least("n", "p.n") >= PERCENT * F.greatest("n", "p.n"))
-    return pairs.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")).distinct()
+    return rows.join(short, F.col("id") == F.col("_id")).drop("_id")
+
 
+def candidates(rows: DataFrame, reach: int) -> DataFrame:
+    """``a, b, same``: pairs of ``rows`` that are neighbours in a region and look alike.
 
-def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b, same``: how many minhashes agree; pairs far below the threshold go."""
+    Each class meets the ``reach`` classes before it in its region. Pairs of one component
+    (``component``), pairs whose sizes rule the threshold out, and pairs of which far too few
+    minhashes agree go no further.
+    """
     total, share = TREES * DEPTH, PERCENT / 100
     least = total * share - SLACK * (total * share * (1 - share)) ** 0.5
-    left = classes.select(F.col("id").alias("a"), F.col("minhash").alias("_ma"))
-    right = classes.select(F.col("id").alias("b"), F.col("minhash").alias("_mb"))
-    same = F.aggregate(F.zip_with("_ma", "_mb", lambda x, y: (x == y).cast("int")), F.lit(0),
-                       lambda s, x: s + x)
-    return pairs.join(left, "a").join(right, "b").select("a", "b", same.alias("same")).filter(
-        F.col("same") >= least)
+    order = Window.partitionBy("region").orderBy("rest", "id")
+    own = F.struct("id", "n", "short", "component")
+    places = [f"_p{i}" for i in range(1, reach + 1)]
+    rows = rows.select("id", "n", "short", "component", *[
+        F.lag(own, i + 1).over(order).alias(p) for i, p in enumerate(places)])
+
+    def met(other):
+        same = F.aggregate(F.zip_with("short", other["short"], lambda x, y: (x == y).cast("int")),
+                           F.lit(0), lambda s, x: s + x)
+        near = (other["component"] != F.col("component")) & (
+            100 * F.least("n", other["n"]) >= PERCENT * F.greatest("n", other["n"]))
+        return F.struct(other["id"].alias("id"), F.when(near, same).alias("same"))
+
+    pairs = rows.select("id", F.explode(F.filter(
+        F.array(*[met(F.col(p)) for p in places]), lambda p: p["same"] >= least)).alias("p"))
+    return pairs.select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b"),
+                        F.col("p.same").alias("same")).distinct()
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -222,23 +206,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found.filter("words_key is not null and doc_id is not null").groupBy("words_key").agg(
             F.min("doc_id").alias("id"), F.max(F.struct("n_shingles", "minhash")).alias("m"))
         .select("words_key", "id", F.col("m.n_shingles").alias("n"), "m.minhash"), "classes")
-    open_pairs = written(estimated(candidates(classes), classes), "pairs")
-    ids = written(open_pairs.select(F.col("a").alias("id")).union(
-        open_pairs.select("b")).distinct(), "ids")
-    sets = written(_sets(docs, ids), "sets")
-    # The best partner of each class first: most links then lie within a component, where
-    # they change nothing more. All others that remain open are confirmed after that.
-    ends = open_pairs.select("a", "b", "same", F.explode(F.array("a", "b")).alias("end"))
+    rows = written(ordered(classes), "ordered")
+    sets = written(_sets(docs, rows.select("id").distinct()), "sets")
+    # Close neighbours first, the best one of each class: most links then lie within a
+    # component, where they change nothing more. What lies in another component after that
+    # is looked for among many more neighbours.
+    close = written(candidates(rows.withColumn("component", F.col("id")), NEAR), "pairs")
+    ends = close.select("a", "b", "same", F.explode(F.array("a", "b")).alias("end"))
     best = ends.groupBy("end").agg(F.max(F.struct("same", "a", "b")).alias("m"))
     chosen = written(best.select("m.a", "m.b").distinct(), "chosen")
     first = written(confirmed(chosen, sets), "links")
-    label = components(first).select("id", "component")
-    rest = open_pairs.join(chosen, ["a", "b"], "left_anti")
-    for end in ("a", "b"):
-        rest = rest.join(label.select(F.col("id").alias(end),
-                                      F.col("component").alias(f"_{end}")), end, "left")
-    rest = rest.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
-    second = confirmed(rest, sets)
+    label = components(first).select(F.col("id").alias("_id"), "component")
+    labelled = rows.join(label, F.col("id") == F.col("_id"), "left").withColumn(
+        "component", F.coalesce("component", "id")).drop("_id")
+    wide = candidates(labelled, FAR).join(chosen, ["a", "b"], "left_anti")
+    second = confirmed(written(wide, "pairs"), sets)
     whole = components(first.union(second))
     named = classes.select("words_key", F.col("id").alias("_class"))
     named = named.join(whole.select(F.col("id").alias("_class"), "component"), "_class", "left")
