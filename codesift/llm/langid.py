@@ -198,7 +198,11 @@ def judge(texts: list[str], filters: Filters) -> tuple[list[str], np.ndarray]:
 
 
 def predicted(docs: DataFrame, filters: Filters) -> DataFrame:
-    """All rows of ``docs`` with ``lang_pred`` and ``score``; only the text is looked at."""
+    """All rows of ``docs`` with ``lang_pred`` and ``score``; only the text is looked at.
+
+    Columns of these names are replaced.
+    """
+    docs = docs.drop("lang_pred", "score")
     # 8 bytes for each of 2 ** SLOT_BITS slots and 64 languages: 8 MB, whatever the corpus.
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
@@ -225,11 +229,8 @@ def held_out(doc_id):
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``held_out, lang_pred, score``, learned from the rows not held out.
-
-    Columns of these names are replaced.
-    """
-    docs = docs.drop("held_out", "lang_pred", "score")
+    """``docs`` with ``held_out, lang_pred, score``, learned from the rows not held out."""
+    docs = docs.drop("held_out")
     learning = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     filters = learn(learning)
     return predicted(docs, filters).withColumn("held_out", held_out(F.col("doc_id")))

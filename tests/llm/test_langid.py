@@ -94,7 +94,8 @@ def test_more_than_64_languages(make):
     rows = []
     for lang in range(70):
         parts = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(8)]
-        rows += [(len(rows), " ".join(rng.choice(parts) for _ in range(30)), f"l{lang:02}") for _ in range(6)]
+        rows += [(6 * lang + i, " ".join(rng.choice(parts) for _ in range(30)), f"l{lang:02}")
+                 for i in range(6)]
     found = langid.identified(make(rows, "doc_id long, text string, lang string")).collect()
     assert sum(r.lang_pred == r.lang for r in found) >= 0.97 * len(found)
 

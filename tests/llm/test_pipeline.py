@@ -28,7 +28,9 @@ def docs(make_docs):
         rows.append((i, text, "en", f"src{min(i % 7, 2)}"))
     for i in range(12):  # one long line each, so that copies are caught by the third stage
         text = prose(5000 + i // 3, 120)
-        rows.append((100 + i, test_neardup.edited(text, rng, 0.01) if i % 3 else text, "en", "src1"))
+        # Another first word each: lines that begin alike would go in the second stage.
+        text = test_neardup.edited(text, rng, 0.01) if i % 3 else text
+        rows.append((100 + i, "abcdefghijkl"[i] + " " + text, "en", "src1"))
     rows += [(200 + i, rows[i][1], "en", "src9") for i in range(5)]  # copies
     rows += [(300, "!!! 123 ...", "en", "src1"), (301, "", "en", "src1"), (302, None, "en", "src1")]
     return make_docs(rows)

@@ -74,4 +74,4 @@ def test_one_group_larger_than_a_shard(make, monkeypatch):
     texts = [(i, hot) for i in range(200)] + [(1000 + i, prose(i + 5, 20)) for i in range(400)]
     totals = sorted(check(sharding.sharded(make(texts), 4).collect(), texts, 4))
     assert totals[3] == 200 * (len(hot) + 1)  # nothing else beside it
-    assert totals[2] - totals[0] <= 0.05 * totals[0]
+    assert totals[2] - totals[0] <= 0.1 * totals[0]
