@@ -348,6 +348,20 @@ def merged_samples(spark, folder):
                        "row_id")
 
 
+@query
+def loaded_samples(spark, folder):
+    """The same tables landed as files and loaded from them."""
+    base, mined = new_path(spark, "base-csv"), new_path(spark, "mined") + ".parquet"
+    rows = corpus(spark, folder)
+    sample_files.write_csv(
+        rows.select(F.col("snippet").alias("code"), "is_vulnerable", "cwe_id"), base)
+    sample_files.write_mined(table(spark, folder, "documents").select(
+        F.col("text").alias("code"), F.lit(0).alias("is_vulnerable"), F.lit("None").alias("cwe_id"),
+        "source"), mined)
+    return sample_files.load_samples(spark, base, mined).select(
+        F.md5("code").alias("digest"), "is_vulnerable", "cwe_id")
+
+
 @query
 def dropped_duplicates(spark, folder):
     return samples.dropped_duplicates(_merged(spark, folder).select("code"))

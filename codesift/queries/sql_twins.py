@@ -333,6 +333,10 @@ TWINS: dict[str, str] = {
         "ORDER BY source_rank, row_id) AS place FROM merged) "
         "SELECT md5(code) AS digest, is_vulnerable, cwe_id, source_rank, row_id FROM ranked "
         "WHERE place = 1",
+    "loaded_samples":
+        f"WITH {_MERGED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY code "
+        "ORDER BY source_rank, is_vulnerable, cwe_id) AS place FROM merged) "
+        "SELECT md5(code) AS digest, is_vulnerable, cwe_id FROM ranked WHERE place = 1",
     "dropped_duplicates":
         f"WITH {_MERGED} SELECT count(*) AS rows_in, count(DISTINCT code) AS kept, "
         "count(*) - count(DISTINCT code) AS dropped FROM merged",
