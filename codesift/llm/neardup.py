@@ -6,8 +6,9 @@ tree's order of classes is the order of its minhashes. Classes that share the fi
 values of a tree form a region; a crowded region is parted by the next value, as deep as
 the tree goes, and then by hash with a link between the parts. Within a region, neighbours
 in the tree's order share the longest prefixes and become candidates by their minhash
-estimate: first the two before a class, of which the best partner is confirmed on the whole
-sets; then, across the components found so far, the ``FAR`` before it, all confirmed. So a
+estimate: first the ``NEAR`` before a class, of which the best partner is confirmed on the
+whole sets, then the others where they join components; at last, across the components
+found so far, the ``FAR`` before it, all confirmed. So a
 group of many near copies costs a few pairs for each, never all pairs of a region.
 
 Defined results: a null or wordless text has an empty set and stands alone; a document of
@@ -208,20 +209,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("words_key", "id", F.col("m.n_shingles").alias("n"), "m.minhash"), "classes")
     rows = written(ordered(classes), "ordered")
     sets = written(_sets(docs, rows.select("id").distinct()), "sets")
-    # Close neighbours first, the best one of each class: most links then lie within a
-    # component, where they change nothing more. What lies in another component after that
-    # is looked for among many more neighbours.
+    # Close neighbours first, the best one of each class, then those in another component:
+    # most links then lie within a component, where they change nothing more. Only what is
+    # still in another one is looked for among many more neighbours.
     close = written(candidates(rows.withColumn("component", F.col("id")), NEAR), "pairs")
     ends = close.select("a", "b", "same", F.explode(F.array("a", "b")).alias("end"))
     best = ends.groupBy("end").agg(F.max(F.struct("same", "a", "b")).alias("m"))
     chosen = written(best.select("m.a", "m.b").distinct(), "chosen")
-    first = written(confirmed(chosen, sets), "links")
-    label = components(first).select(F.col("id").alias("_id"), "component")
+    links = written(confirmed(chosen, sets), "links")
+
+    def across(pairs: DataFrame, label: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(label.select(F.col("id").alias(end), F.col("component").alias(f"_{end}")),
+                               end, "left")
+        return pairs.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+
+    others = close.join(chosen, ["a", "b"], "left_anti")
+    links = written(links.union(confirmed(across(others, components(links)), sets)), "links")
+    label = components(links).select(F.col("id").alias("_id"), "component")
     labelled = rows.join(label, F.col("id") == F.col("_id"), "left").withColumn(
         "component", F.coalesce("component", "id")).drop("_id")
-    wide = candidates(labelled, FAR).join(chosen, ["a", "b"], "left_anti")
-    second = confirmed(written(wide, "pairs"), sets)
-    whole = components(first.union(second))
+    wide = candidates(labelled, FAR).join(close, ["a", "b"], "left_anti")
+    third = confirmed(written(wide, "pairs"), sets)
+    whole = components(links.union(third))
     named = classes.select("words_key", F.col("id").alias("_class"))
     named = named.join(whole.select(F.col("id").alias("_class"), "component"), "_class", "left")
     named = named.select(F.col("words_key"), F.coalesce("component", "_class").alias("_component"))
