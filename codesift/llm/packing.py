@@ -27,7 +27,7 @@ from codesift.session import written
 
 SIZE = 2048
 END_ID = 1
-_KEPT_WORDS = 1_000_000
+_KEPT_WORDS = 300_000
 
 
 class WordIds(dict):
@@ -44,6 +44,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self._older: dict[bytes, bytes] = {}
         self._whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
@@ -78,12 +79,14 @@ class WordIds(dict):
     def of(self, text: bytes) -> bytes:
         """The ids of a text."""
         parts = text.split()
-        if new := {part for part in parts if part not in self}:
+        if new := {part for part in parts if part not in self and part not in self._older}:
             self._learn(new)
         return b"".join(map(self.__getitem__, parts))
 
     def _learn(self, parts: set[bytes]) -> None:
         if len(self) >= _KEPT_WORDS:
+            # The older half goes; what is still in use comes back from it when asked for.
+            self._older = dict(self)
             self.clear()
         plain, words, counts = [], [], []
         for part in parts:
@@ -108,7 +111,10 @@ class WordIds(dict):
                 self[part] = ids[low:high]
 
     def __missing__(self, part: bytes) -> bytes:
-        self._learn({part})
+        if part in self._older:
+            self[part] = self._older[part]
+        else:
+            self._learn({part})
         return self[part]
 
 

@@ -28,7 +28,10 @@ def op1_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     docs = written(rollups.counted(table(spark, folder, "documents")), "counted")
     totals = rollups.TokenTotals(spark, new_path(spark, "totals"))
     totals.commit("load", rollups.change("insert", docs, "words-1", F.col("all_words")))
-    firsts = docs.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc_id").alias("_first"))
+    # Written, so that the join reads both sides straight from a shuffle and can split a text
+    # that many rows share.
+    firsts = written(docs.groupBy(F.col("digest").alias("_digest")).agg(
+        F.min("doc_id").alias("_first")), "firsts")
     known = written(docs.join(firsts, F.col("digest") == F.col("_digest"), "left").withColumn(
         "copy", F.coalesce(F.col("_first") < F.col("doc_id"), F.lit(False))), "known")
     copies, rest = known.filter("copy"), known.filter("not copy")
