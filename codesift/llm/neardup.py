@@ -11,6 +11,13 @@ whole sets, then the others where they join components; at last, across the comp
 found so far, the ``FAR`` before it, all confirmed. So a
 group of many near copies costs a few pairs for each, never all pairs of a region.
 
+Regions of more than ``FAR + 1`` classes have pairs that never were neighbours. For their
+classes an exact join follows: two sets reach the threshold only if they share a shingle
+among the first of each in one order of all shingles (rare ones first), as many as the
+threshold lets a set lose and one more. Prefixes met in several components give the
+pairs across these, first with the most typical class of each prefix, then all of them,
+confirmed on the whole sets.
+
 Defined results: a null or wordless text has an empty set and stands alone; a document of
 fewer than ``WIDTH`` words is one shingle; a null doc_id stands alone with a null
 component and is kept; repeated rows share a component and are all kept if their id is the
@@ -36,6 +43,10 @@ FIRST_DEPTH = 2
 REGION = 256
 NEAR = 2
 FAR = 32
+# Shingles that are ordered by how often they come; any others go before these, by hash.
+# The order decides how many pairs are looked at, never which are found.
+ORDERED = 2**18
+COMMON = 16
 # Standard errors that an estimate from TREES * DEPTH minhashes may lie below the threshold.
 SLACK = 4.0
 _CHUNK = 4096
@@ -93,8 +104,9 @@ def profiles(docs: DataFrame) -> DataFrame:
         run, schema)
 
 
-def _regions(classes: DataFrame) -> DataFrame:
-    """Rows ``id, tree, region, rest, n``: each class in its region of each tree."""
+def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows ``id, n, tree, region, rest``: each class in its region of each tree. And the
+    ``id`` of the classes in regions with more classes than all neighbours of one."""
     trees = F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
         lambda t: F.struct(t.alias("tree"), F.slice("minhash", t * DEPTH + 1, DEPTH).alias("label"))))
@@ -109,6 +121,7 @@ def _regions(classes: DataFrame) -> DataFrame:
         return part.drop("size").join(sizes, "region")
 
     rows = written(sized(rows), "regions")
+    beyond = rows.filter(F.col("size") > FAR + 1).select("id").distinct()
     settled = rows.filter(F.col("size") <= REGION)
     crowded = rows.filter(F.col("size") > REGION)
     for depth in range(DEPTH - FIRST_DEPTH):
@@ -126,15 +139,17 @@ def _regions(classes: DataFrame) -> DataFrame:
     split = crowded.withColumn("part", F.pmod(F.xxhash64("id", "tree"), parts)).unionByName(
         links).distinct().withColumn("region", F.xxhash64("region", "part")).drop("part")
     return settled.select("id", "n", "tree", "region", "rest").union(
-        split.select("id", "n", "tree", "region", "rest"))
+        split.select("id", "n", "tree", "region", "rest")), beyond
 
 
-def ordered(classes: DataFrame) -> DataFrame:
-    """``id, n, short, region, rest``: classes in their regions, with short minhashes."""
+def ordered(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``id, n, short, region, rest``: classes in their regions, with short minhashes. And
+    the ``id`` of the classes in crowded ones."""
     short = classes.select(F.col("id").alias("_id"), F.transform(
         "minhash", lambda x: x.bitwiseAND(F.lit(0x7F)).cast("byte")).alias("short"))
-    rows = _regions(classes).select("id", "n", "region", "rest")
-    return rows.join(short, F.col("id") == F.col("_id")).drop("_id")
+    rows, beyond = _regions(classes)
+    rows = rows.select("id", "n", "region", "rest")
+    return rows.join(short, F.col("id") == F.col("_id")).drop("_id"), beyond
 
 
 def candidates(rows: DataFrame, reach: int) -> DataFrame:
@@ -199,6 +214,94 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         "a", "b", "_sa", "_sb").mapInArrow(run, "a long, b long")
 
 
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """``id, n, typical, key, at``: the first shingles of each set, with their places.
+
+    ``typical`` is how often the set's shingles come, by the mean of the logarithms.
+    """
+    def shingles(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, 64):
+                part = [x.as_py() for x in batch.column(0)[low: low + 64]]
+                keys, n = np.unique(np.frombuffer(b"".join(part), np.uint64), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    counts = sets.select("shingles").mapInArrow(shingles, "key long, n long").groupBy("key").agg(
+        F.sum("n").alias("n")).filter(F.col("n") > COMMON)
+    found = counts.orderBy(F.desc("n"), "key").limit(ORDERED).toArrow()  # 16 bytes each
+    keys = found["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shared = sets.sparkSession.sparkContext.broadcast(
+        (keys[order], found["n"].to_numpy()[order].astype(np.int64)))
+
+    def run(batches):
+        common, counts = shared.value
+        for batch in batches:
+            for row, data in zip(batch.column(0), batch.column(1)):
+                own = np.frombuffer(data.as_py(), np.uint64)
+                often = np.zeros(len(own), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    often = np.where(common[at] == own, counts[at], 0)
+                # A partner holds this many of the set at least.
+                held = -(-PERCENT * len(own) // 100)
+                first = own[np.lexsort((own, often))][: len(own) - held + 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(first), row.as_py(), np.int64)),
+                     pa.array(np.full(len(first), len(own), np.int64)),
+                     pa.array(np.full(len(first), np.log1p(often).mean())),
+                     pa.array(first.view(np.int64)), pa.array(np.arange(len(first)))],
+                    ["id", "n", "typical", "key", "at"])
+
+    return sets.select("id", "shingles").mapInArrow(
+        run, "id long, n long, typical double, key long, at long")
+
+
+def rest_of_links(beyond: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """``links``, and those that still join components of ``beyond``, none left out."""
+    if beyond.isEmpty():
+        return links
+    own = sets.join(beyond, "id")
+    prefixes = written(_prefixes(own), "prefixes")
+
+    def mixed_keys(links: DataFrame) -> DataFrame:
+        """The rows whose key is met in several components."""
+        label = components(links).select(F.col("id").alias("_id"), "component")
+        rows = prefixes.join(label, F.col("id") == F.col("_id"), "left").withColumn(
+            "component", F.coalesce("component", "id")).drop("_id")
+        rows = written(rows, "labelled")
+        several = rows.groupBy("key").agg(
+            F.min("component").alias("_low"), F.max("component").alias("_high")).filter(
+            "_low < _high").select("key")
+        return written(rows.join(several, "key"), "mixed")
+
+    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+        x, y = left.alias("x"), right.alias("y")
+        both = x.join(y, F.col("x.key") == F.col("y.key"))
+        # What two sets of these sizes must share, and what is left of both from here on: at
+        # their first common shingle no less may be left.
+        need = PERCENT * (F.col("x.n") + F.col("y.n"))
+        left_over = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+        return both.filter(
+            (F.col("x.component") < F.col("y.component"))
+            & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
+            & ((100 + PERCENT) * left_over >= need)).select(
+            F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+    rows = mixed_keys(links)
+    hubs = rows.groupBy("key").agg(
+        F.max(F.struct("typical", "id", "n", "component", "at")).alias("m")).select(
+        "key", "m.id", "m.n", "m.component", "m.at")
+    met = written(pairs(rows, hubs).union(pairs(hubs, rows)).distinct(), "pairs")
+    more = written(confirmed(met, sets), "links")
+    links = written(links.union(more), "links")
+    if not more.isEmpty():
+        rows = mixed_keys(links)
+    others = written(pairs(rows.alias("l"), rows.alias("r")).join(met, ["a", "b"], "left_anti"), "pairs")
+    return links.union(confirmed(others, sets))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each document."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
@@ -207,8 +310,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found.filter("words_key is not null and doc_id is not null").groupBy("words_key").agg(
             F.min("doc_id").alias("id"), F.max(F.struct("n_shingles", "minhash")).alias("m"))
         .select("words_key", "id", F.col("m.n_shingles").alias("n"), "m.minhash"), "classes")
-    rows = written(ordered(classes), "ordered")
-    sets = written(_sets(docs, rows.select("id").distinct()), "sets")
+    rows, beyond = ordered(classes)
+    rows, beyond = written(rows, "ordered"), written(beyond, "beyond")
+    sets = written(_sets(docs, rows.select("id").union(beyond).distinct()), "sets")
     # Close neighbours first, the best one of each class, then those in another component:
     # most links then lie within a component, where they change nothing more. Only what is
     # still in another one is looked for among many more neighbours.
@@ -231,7 +335,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "id")).drop("_id")
     wide = candidates(labelled, FAR).join(close, ["a", "b"], "left_anti")
     third = confirmed(written(wide, "pairs"), sets)
-    whole = components(links.union(third))
+    whole = components(rest_of_links(beyond, sets, written(links.union(third), "links")))
     named = classes.select("words_key", F.col("id").alias("_class"))
     named = named.join(whole.select(F.col("id").alias("_class"), "component"), "_class", "left")
     named = named.select(F.col("words_key"), F.coalesce("component", "_class").alias("_component"))

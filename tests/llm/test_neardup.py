@@ -71,6 +71,22 @@ def test_crowded_regions(make, monkeypatch):
     assert {tuple(r) for r in found} == brute(rows)
 
 
+def test_many_leaves_around_one_base(make):
+    # Leaves are like the base and not like each other, far more of them than neighbours.
+    rng = random.Random(4)
+    base = prose(55, 120)
+    rows = [(5000, base)]
+    for i in range(1000):
+        words = base.split()
+        for j in (5, 45, 85):
+            words[j + rng.randrange(30)] = f"leaf{i}n{j}"
+        rows.append((i, " ".join(words)))
+    whole = [sets(t) for _, t in rows]
+    assert all(100 * len(s & whole[0]) >= 75 * len(s | whole[0]) for s in whole)
+    found = neardup.near_duplicates(make(rows)).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 1001
+
+
 def test_odd_rows(odd):
     found = neardup.near_duplicates(odd).collect()
     assert len(found) == len(odd_rows())
