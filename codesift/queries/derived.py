@@ -86,10 +86,10 @@ def _trained(app: str, folder: str):
     spark = SparkSession.active()
     samples = corpus(spark, folder).select("doc_id", "code", "is_vulnerable")
     train, test, features, names = split_features(samples, "doc_id")
-    model = forest(trees=20, depth=8).fit(train)
+    model = forest().fit(train)
     return train, test, features, names, model
 
 
 def trained(spark: SparkSession, folder: str):
-    """Train and test rows, features, names and a small forest; once per session."""
+    """Train and test rows, features, names and a forest; once per session."""
     return _trained(spark.sparkContext.applicationId, folder)

@@ -1,0 +1,75 @@
+"""The learning queries ask for whole jobs."""
+
+import inspect
+from types import SimpleNamespace
+
+import pytest
+
+from codesift import fixed_values as fixed
+from codesift.plans import evaluating, training
+from codesift.queries import derived, spark_queries
+
+
+class _Asked(Exception):
+    pass
+
+
+@pytest.fixture
+def asked(monkeypatch):
+    """What a query passes to a function of a module, defaults included."""
+    rows = SimpleNamespace(unionByName=lambda other: rows)
+    monkeypatch.setattr(spark_queries, "trained", lambda *_: (rows, rows, None, None, "forest"))
+
+    def run(query, module, name):
+        signature = inspect.signature(getattr(module, name))
+
+        def stop(*args, **kwargs):
+            bound = signature.bind(*args, **kwargs)
+            bound.apply_defaults()
+            raise _Asked(bound.arguments)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(module, name, stop)
+            with pytest.raises(_Asked) as found:
+                spark_queries.QUERIES[query](None, "")
+        return found.value.args[0]
+
+    return run
+
+
+def test_grid(asked):
+    given = asked("forest_grid", training, "grid_search")
+    assert given["folds"] == 5 and given["settings"] in (None, training.grid_settings())
+    assert len(training.grid_settings()) == 36
+
+
+def test_svm(asked):
+    assert asked("svm_scores", training, "calibrated_svm")["max_iter"] == 50
+    assert asked("model_evaluation", training, "calibrated_svm")["max_iter"] == 50
+
+
+def test_evaluation_of_both_models(asked, monkeypatch):
+    monkeypatch.setattr(training, "calibrated_svm", lambda *_: "svm")
+    assert asked("model_evaluation", evaluating, "scored_test_set")["models"] == {
+        "forest": "forest", "svm": "svm"}
+
+
+def test_learning_curve(asked, monkeypatch):
+    monkeypatch.setattr(training, "forest", lambda **given: given)
+    given = asked("model_learning_curve", training, "learning_curve")
+    assert given["folds"] == 5 and given["fractions"] == fixed.LEARNING_CURVE_FRACTIONS
+    assert given["estimator"] == {}
+
+
+def test_trained(monkeypatch):
+    class Estimator:
+        def fit(self, rows):
+            return self
+
+    given = []
+    monkeypatch.setattr(derived, "SparkSession", SimpleNamespace(active=lambda: None))
+    monkeypatch.setattr(derived, "corpus", lambda *_: SimpleNamespace(select=lambda *_: None))
+    monkeypatch.setattr(derived, "split_features", lambda *_: (None, None, None, None))
+    monkeypatch.setattr(derived, "forest", lambda **kwargs: given.append(kwargs) or Estimator())
+    derived._trained.__wrapped__("", "")
+    assert given == [{}]
