@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import langid, linededup, mixing, neardup, packing, quality, rollups, secrets, sharding, syncmers
+from codesift.llm import langid, linededup, merkle, mixing, neardup, packing, quality, rollups, secrets, sharding, syncmers
 from codesift.llm.common import table
 from codesift.session import new_path, ship_package, written
 
@@ -107,4 +107,12 @@ def op10_host_rules(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("repeats").alias("host_repeats"))
 
 
-QUERIES = {q.__name__: _shipped(q) for q in (op1_token_rollup, op4_secret_forest, op2_sharding, op3_fingerprints, op5_language_id, op6_mixing, op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules)}
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf, proof and what its possibly tampered text folds to."""
+    docs = table(spark, folder, "documents")
+    return merkle.manifest(docs, merkle.without_breaks(docs))
+
+
+QUERIES = {q.__name__: _shipped(q) for q in (
+    op1_token_rollup, op2_sharding, op3_fingerprints, op4_secret_forest, op5_language_id, op6_mixing,
+    op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules, op12_merkle)}
