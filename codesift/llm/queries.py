@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import langid, linededup, merkle, mixing, neardup, packing, quality, rollups, secrets, sharding, syncmers
+from codesift.llm import collocations, langid, linededup, merkle, mixing, neardup, packing, quality, rollups, secrets, sharding, syncmers
 from codesift.llm.common import table
 from codesift.session import new_path, ship_package, written
 
@@ -113,6 +113,11 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(docs, merkle.without_breaks(docs))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of two and three words of every language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_token_rollup, op2_sharding, op3_fingerprints, op4_secret_forest, op5_language_id, op6_mixing,
-    op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules, op12_merkle)}
+    op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules, op12_merkle, op13_collocations)}

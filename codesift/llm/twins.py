@@ -127,5 +127,41 @@ SELECT source, lang, 'words-2', count(*),
 FROM d WHERE NOT copy GROUP BY ALL
 """
 
+_OP13 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+o AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS n
+  FROM o, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+t AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (
+  SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut
+  FROM f WHERE k >= 2 AND n >= 10),
+s AS (
+  SELECT c.lang, c.k, c.phrase, c.a, cut, x.n AS l, y.n AS r,
+    ((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n))::BIGINT AS score
+  FROM c
+  JOIN f x ON x.lang = c.lang AND x.k = cut AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - cut AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (
+  SELECT lang, inner_phrase, max(a) AS a FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS inner_phrase
+    FROM c WHERE k = 3 AND cut = 1)
+  GROUP BY ALL),
+m AS (
+  SELECT b.* FROM b LEFT JOIN i ON b.k = 2 AND i.lang = b.lang AND i.inner_phrase = b.phrase
+  WHERE i.a IS NULL OR 100 * i.a < 50 * b.a)
+SELECT m.lang, row_number() OVER (
+    PARTITION BY m.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+  phrase, a, l, r, t.n, score
+FROM m JOIN t ON t.lang = m.lang QUALIFY rank <= 2000
+"""
+
 TWINS: dict[str, str] = {"op1_token_rollup": _OP1, "op8_line_dedup": _OP8, "op9_near_duplicates": _OP9,
-                          "op10_host_rules": _OP10}
+                          "op10_host_rules": _OP10, "op13_collocations": _OP13}
