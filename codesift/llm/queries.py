@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift.llm import collocations, langid, linededup, merkle, mixing, neardup, packing, quality, rollups, secrets, sharding, syncmers
+from codesift.llm import collocations, langid, licenses, linededup, merkle, mixing, neardup, packing, quality, rollups, secrets, sharding, syncmers
 from codesift.llm.common import table
 from codesift.session import new_path, ship_package, written
 
@@ -107,6 +107,11 @@ def op10_host_rules(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("repeats").alias("host_repeats"))
 
 
+def op11_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    return licenses.licensed(table(spark, folder, "documents"))
+
+
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's leaf, proof and what its possibly tampered text folds to."""
     docs = table(spark, folder, "documents")
@@ -120,4 +125,4 @@ def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_token_rollup, op2_sharding, op3_fingerprints, op4_secret_forest, op5_language_id, op6_mixing,
-    op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules, op12_merkle, op13_collocations)}
+    op7_packing, op8_line_dedup, op9_near_duplicates, op10_host_rules, op11_licenses, op12_merkle, op13_collocations)}

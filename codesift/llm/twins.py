@@ -1,5 +1,7 @@
 """DuckDB SQL that must give the rows of the queries."""
 
+from codesift.llm import licenses
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 _OP9 = f"""
@@ -127,6 +129,62 @@ SELECT source, lang, 'words-2', count(*),
 FROM d WHERE NOT copy GROUP BY ALL
 """
 
+
+
+def _values(rows) -> str:
+    def shown(value):
+        if isinstance(value, list):
+            return "[" + ", ".join(map(shown, value)) + "]"
+        return f"'{value}'" if isinstance(value, str) else str(value)
+
+    return ", ".join(f"({', '.join(map(shown, row))})" for row in rows)
+
+
+_TEXTS, _KEYS = licenses.template_words(), licenses.key_phrases()
+_OP11 = rf"""
+WITH base(label, words) AS (VALUES {_values([label, phrase.split()] for phrase, label in licenses.BASE.items())}),
+tpl(t, label, size) AS (VALUES {_values([t, licenses.TEMPLATES[t][0], len(x)] for t, x in enumerate(_TEXTS))}),
+idx(t, pos, w) AS (VALUES {_values([t, i, w] for t, x in enumerate(_TEXTS) for i, w in enumerate(x))}),
+keys(t, no, pos, words) AS (VALUES {_values([t, n, i, w] for t, x in enumerate(_KEYS) for n, (i, w) in enumerate(x))}),
+d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+o AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) - 1 AS spot FROM d),
+b AS (
+  SELECT o.r, label, spot FROM o JOIN base ON o.w = base.words[1] JOIN d ON d.r = o.r
+  WHERE d.words[spot + 1:spot + len(base.words)] = base.words),
+bb AS (
+  SELECT r, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word,
+    list_sort(list(DISTINCT label)) AS labels FROM b GROUP BY r),
+h AS (SELECT DISTINCT r, w FROM o WHERE w IN (SELECT w FROM idx)),
+df AS (SELECT w, count(*) AS n FROM h GROUP BY w),
+a AS (
+  SELECT h.r, i.t, h.w FROM h JOIN (SELECT DISTINCT t, w FROM idx) i ON i.w = h.w JOIN df ON df.w = h.w
+  QUALIFY row_number() OVER (PARTITION BY h.r, i.t ORDER BY df.n, h.w) <= {licenses.RAREST}),
+s AS (
+  SELECT a.r, a.t, o.spot - i.pos AS shift FROM a JOIN o ON o.r = a.r AND o.w = a.w
+  JOIN idx i ON i.t = a.t AND i.w = a.w GROUP BY ALL
+  HAVING count(DISTINCT a.w) >= {licenses.VOTES}),
+k AS (
+  SELECT o.r, t, no, spot - pos AS shift FROM o JOIN keys ON o.w = keys.words[1] JOIN d ON d.r = o.r
+  WHERE d.words[spot + 1:spot + len(keys.words)] = keys.words),
+v AS (
+  SELECT s.r, s.t, s.shift FROM s JOIN k ON k.r = s.r AND k.t = s.t AND abs(k.shift - s.shift) <= {licenses.SLACK}
+  JOIN (SELECT t AS kt, count(*) AS need FROM keys GROUP BY t) ON kt = s.t
+  GROUP BY s.r, s.t, s.shift, need HAVING count(DISTINCT no) = need),
+x AS (
+  SELECT v.r, v.t, v.shift, count(*) AS n FROM v JOIN idx i ON i.t = v.t
+  JOIN o ON o.r = v.r AND o.spot = v.shift + i.pos AND o.w = i.w GROUP BY ALL),
+m AS (
+  SELECT r, list(DISTINCT label) AS labels, max(n / size) AS score FROM x JOIN tpl ON tpl.t = x.t GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(bb.labels, ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(bb.labels, m.labels))), ','), '') AS labels,
+  greatest(coalesce(m.score, 0.0), CASE WHEN bb.r IS NULL THEN 0.0 ELSE {licenses.PHRASE_SCORE} END)::DOUBLE AS score
+FROM d LEFT JOIN bb ON bb.r = d.r LEFT JOIN m ON m.r = d.r
+"""
+
 _OP13 = r"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
@@ -164,4 +222,4 @@ FROM m JOIN t ON t.lang = m.lang QUALIFY rank <= 2000
 """
 
 TWINS: dict[str, str] = {"op1_token_rollup": _OP1, "op8_line_dedup": _OP8, "op9_near_duplicates": _OP9,
-                          "op10_host_rules": _OP10, "op13_collocations": _OP13}
+                          "op10_host_rules": _OP10, "op11_licenses": _OP11, "op13_collocations": _OP13}
