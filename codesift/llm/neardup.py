@@ -11,12 +11,16 @@ whole sets, then the others where they join components; at last, across the comp
 found so far, the ``FAR`` before it, all confirmed. So a
 group of many near copies costs a few pairs for each, never all pairs of a region.
 
-Regions of more than ``FAR + 1`` classes have pairs that never were neighbours. For their
-classes an exact join follows: two sets reach the threshold only if they share a shingle
-among the first of each in one order of all shingles (rare ones first), as many as the
-threshold lets a set lose and one more. Prefixes met in several components give the
-pairs across these, first with the most typical class of each prefix, then all of them,
-confirmed on the whole sets.
+Regions of more than ``FAR + 1`` classes have pairs that never were neighbours. Where such
+a region still holds several components after all that, an exact join of its classes
+follows: two sets reach the threshold only if they share a shingle among the first of each
+in one order of all shingles (rare ones first), as many as the threshold lets a set lose
+and one more. Prefixes met in several components give the pairs across these, first with
+the most typical class of each prefix, then all of them, confirmed on the whole sets. A
+set meets sets of its own size or larger by an even shorter prefix, so what many sets of
+one size share without being alike makes no pairs; the sets of a frequent shingle meet in
+blocks, each pair of blocks on its own. A region that is one component by then has no
+pair that could join anything, however many copies it holds.
 
 Defined results: a null or wordless text has an empty set and stands alone; a document of
 fewer than ``WIDTH`` words is one shingle; a null doc_id stands alone with a null
@@ -28,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesift.llm.common import components
@@ -47,6 +51,8 @@ FAR = 32
 # The order decides how many pairs are looked at, never which are found.
 ORDERED = 2**18
 COMMON = 16
+# Sets that meet in one task over one shingle, at most; beyond it they meet block by block.
+BLOCK = 512
 # Standard errors that an estimate from TREES * DEPTH minhashes may lie below the threshold.
 SLACK = 4.0
 _CHUNK = 4096
@@ -105,8 +111,8 @@ def profiles(docs: DataFrame) -> DataFrame:
 
 
 def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows ``id, n, tree, region, rest``: each class in its region of each tree. And the
-    ``id`` of the classes in regions with more classes than all neighbours of one."""
+    """Rows ``id, n, tree, region, rest``: each class in its region of each tree. And rows
+    ``id, region`` of the regions with more classes than all neighbours of one."""
     trees = F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
         lambda t: F.struct(t.alias("tree"), F.slice("minhash", t * DEPTH + 1, DEPTH).alias("label"))))
@@ -121,7 +127,7 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         return part.drop("size").join(sizes, "region")
 
     rows = written(sized(rows), "regions")
-    beyond = rows.filter(F.col("size") > FAR + 1).select("id").distinct()
+    beyond = rows.filter(F.col("size") > FAR + 1).select("id", "region")
     settled = rows.filter(F.col("size") <= REGION)
     crowded = rows.filter(F.col("size") > REGION)
     for depth in range(DEPTH - FIRST_DEPTH):
@@ -144,7 +150,7 @@ def _regions(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def ordered(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``id, n, short, region, rest``: classes in their regions, with short minhashes. And
-    the ``id`` of the classes in crowded ones."""
+    ``id, region`` of the crowded ones, before any was parted."""
     short = classes.select(F.col("id").alias("_id"), F.transform(
         "minhash", lambda x: x.bitwiseAND(F.lit(0x7F)).cast("byte")).alias("short"))
     rows, beyond = _regions(classes)
@@ -215,7 +221,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """``id, n, typical, key, at``: the first shingles of each set, with their places.
+    """``id, n, component, typical, key, at``: the first shingles of each set, with their places.
 
     ``typical`` is how often the set's shingles come, by the mean of the logarithms.
     """
@@ -238,7 +244,7 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     def run(batches):
         common, counts = shared.value
         for batch in batches:
-            for row, data in zip(batch.column(0), batch.column(1)):
+            for row, component, data in zip(batch.column(0), batch.column(1), batch.column(2)):
                 own = np.frombuffer(data.as_py(), np.uint64)
                 often = np.zeros(len(own), np.int64)
                 if len(common):
@@ -250,55 +256,97 @@ def _prefixes(sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(first), row.as_py(), np.int64)),
                      pa.array(np.full(len(first), len(own), np.int64)),
+                     pa.array(np.full(len(first), component.as_py(), np.int64)),
                      pa.array(np.full(len(first), np.log1p(often).mean())),
                      pa.array(first.view(np.int64)), pa.array(np.arange(len(first)))],
-                    ["id", "n", "typical", "key", "at"])
+                    ["id", "n", "component", "typical", "key", "at"])
 
-    return sets.select("id", "shingles").mapInArrow(
-        run, "id long, n long, typical double, key long, at long")
+    return sets.select("id", "component", "shingles").mapInArrow(
+        run, "id long, n long, component long, typical double, key long, at long")
 
 
-def rest_of_links(beyond: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """``links``, and those that still join components of ``beyond``, none left out."""
-    if beyond.isEmpty():
-        return links
-    own = sets.join(beyond, "id")
-    prefixes = written(_prefixes(own), "prefixes")
-
-    def mixed_keys(links: DataFrame) -> DataFrame:
-        """The rows whose key is met in several components."""
-        label = components(links).select(F.col("id").alias("_id"), "component")
-        rows = prefixes.join(label, F.col("id") == F.col("_id"), "left").withColumn(
-            "component", F.coalesce("component", "id")).drop("_id")
-        rows = written(rows, "labelled")
-        several = rows.groupBy("key").agg(
-            F.min("component").alias("_low"), F.max("component").alias("_high")).filter(
-            "_low < _high").select("key")
-        return written(rows.join(several, "key"), "mixed")
-
-    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-        x, y = left.alias("x"), right.alias("y")
-        both = x.join(y, F.col("x.key") == F.col("y.key"))
-        # What two sets of these sizes must share, and what is left of both from here on: at
-        # their first common shingle no less may be left.
-        need = PERCENT * (F.col("x.n") + F.col("y.n"))
-        left_over = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-        return both.filter(
-            (F.col("x.component") < F.col("y.component"))
-            & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
-            & ((100 + PERCENT) * left_over >= need)).select(
-            F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-
-    rows = mixed_keys(links)
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with the ``component`` of each ``id``."""
+    label = components(links).select(F.col("id").alias("_id"), F.col("component").alias("_label"))
+    return rows.drop("component").join(label, F.col("id") == F.col("_id"), "left").withColumn(
+        "component", F.coalesce("_label", "id")).drop("_id", "_label")
+
+
+def _several(rows: DataFrame, group: str) -> DataFrame:
+    """The rows of the groups that hold more than one component."""
+    wanted = rows.groupBy(group).agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high")).filter(
+        "_low < _high").select(F.col(group).alias("_group"))
+    return rows.join(wanted, F.col(group) == F.col("_group"), "left_semi")
+
+
+def _may_link(x: str, y: str) -> Column:
+    """Whether sets may reach the threshold if this is the first shingle that they share.
+
+    What two sets of these sizes must share is no more than what is left of both from here on.
+    """
+    need = PERCENT * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+    left_over = F.least(F.col(f"{x}.n") - F.col(f"{x}.at"), F.col(f"{y}.n") - F.col(f"{y}.at"))
+    return ((F.col(f"{x}.component") != F.col(f"{y}.component"))
+            & (100 * F.least(f"{x}.n", f"{y}.n") >= PERCENT * F.greatest(f"{x}.n", f"{y}.n"))
+            & ((100 + PERCENT) * left_over >= need))
+
+
+def met_at_hubs(rows: DataFrame) -> DataFrame:
+    """Pairs of each class with the most typical class of a prefix shingle."""
     hubs = rows.groupBy("key").agg(
         F.max(F.struct("typical", "id", "n", "component", "at")).alias("m")).select(
-        "key", "m.id", "m.n", "m.component", "m.at")
-    met = written(pairs(rows, hubs).union(pairs(hubs, rows)).distinct(), "pairs")
+        F.col("key").alias("_key"), "m.id", "m.n", "m.component", "m.at")
+    both = rows.alias("x").join(hubs.alias("y"), F.col("x.key") == F.col("y._key"))
+    return both.filter(_may_link("x", "y")).select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def met_in_blocks(rows: DataFrame) -> DataFrame:
+    """All pairs over shared prefix shingles that the bounds let through, in blocks."""
+    # The smaller set of a pair is met by fewer of its shingles: its partner is no smaller,
+    # so they share more than any two sets that hold the smaller one may.
+    smaller = rows.filter(
+        (100 + PERCENT) * (F.col("n") - F.col("at")) >= 2 * PERCENT * F.col("n"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("_all")).join(
+        smaller.groupBy("key").agg(F.count("*").alias("_small")), "key")
+    blocks = sizes.select(
+        F.col("key").alias("_key"), F.ceil(F.col("_all") / BLOCK).alias("_wide"),
+        F.ceil(F.col("_small") / BLOCK).alias("_high"))
+
+    def dealt(part: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row in a block of its own side, once for every block of the other."""
+        part = part.join(blocks, F.col("key") == F.col("_key"))
+        mine = F.pmod(F.xxhash64("id"), F.col(own))
+        return part.withColumn(own, mine).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))).drop("_key")
+
+    x, y = dealt(rows, "_wide", "_high").alias("x"), dealt(smaller, "_high", "_wide").alias("y")
+    both = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x._wide") == F.col("y._wide"))
+                  & (F.col("x._high") == F.col("y._high"))
+                  & ((F.col("y.n") < F.col("x.n"))
+                     | ((F.col("y.n") == F.col("x.n")) & (F.col("y.id") < F.col("x.id"))))
+                  & _may_link("x", "y"))
+    return both.select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def rest_of_links(crowded: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """``links``, and those that still join components of crowded regions, none left out."""
+    if crowded.isEmpty():
+        return links
+    open_rows = written(_several(written(_labelled(crowded, links), "crowded"), "region").select(
+        "id", "component").distinct(), "open")
+    if open_rows.isEmpty():
+        return links
+    own = sets.join(open_rows.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id")
+    rows = written(_several(written(_prefixes(written(own, "open_sets")), "prefixes"), "key"), "mixed")
+    met = written(met_at_hubs(rows), "pairs")
     more = written(confirmed(met, sets), "links")
-    links = written(links.union(more), "links")
     if not more.isEmpty():
-        rows = mixed_keys(links)
-    others = written(pairs(rows.alias("l"), rows.alias("r")).join(met, ["a", "b"], "left_anti"), "pairs")
+        links = written(links.union(more), "links")
+        rows = written(_several(written(_labelled(rows, links), "mixed"), "key"), "mixed")
+    others = written(met_in_blocks(rows).join(met, ["a", "b"], "left_anti"), "pairs")
     return links.union(confirmed(others, sets))
 
 
@@ -310,9 +358,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found.filter("words_key is not null and doc_id is not null").groupBy("words_key").agg(
             F.min("doc_id").alias("id"), F.max(F.struct("n_shingles", "minhash")).alias("m"))
         .select("words_key", "id", F.col("m.n_shingles").alias("n"), "m.minhash"), "classes")
-    rows, beyond = ordered(classes)
-    rows, beyond = written(rows, "ordered"), written(beyond, "beyond")
-    sets = written(_sets(docs, rows.select("id").union(beyond).distinct()), "sets")
+    rows, crowded = ordered(classes)
+    rows, crowded = written(rows, "ordered"), written(crowded, "crowded")
+    sets = written(_sets(docs, rows.select("id").union(crowded.select("id")).distinct()), "sets")
     # Close neighbours first, the best one of each class, then those in another component:
     # most links then lie within a component, where they change nothing more. Only what is
     # still in another one is looked for among many more neighbours.
@@ -330,12 +378,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     others = close.join(chosen, ["a", "b"], "left_anti")
     links = written(links.union(confirmed(across(others, components(links)), sets)), "links")
-    label = components(links).select(F.col("id").alias("_id"), "component")
-    labelled = rows.join(label, F.col("id") == F.col("_id"), "left").withColumn(
-        "component", F.coalesce("component", "id")).drop("_id")
-    wide = candidates(labelled, FAR).join(close, ["a", "b"], "left_anti")
+    wide = candidates(_labelled(rows, links), FAR).join(close, ["a", "b"], "left_anti")
     third = confirmed(written(wide, "pairs"), sets)
-    whole = components(rest_of_links(beyond, sets, written(links.union(third), "links")))
+    whole = components(rest_of_links(crowded, sets, written(links.union(third), "links")))
     named = classes.select("words_key", F.col("id").alias("_class"))
     named = named.join(whole.select(F.col("id").alias("_class"), "component"), "_class", "left")
     named = named.select(F.col("words_key"), F.coalesce("component", "_class").alias("_component"))
