@@ -7,9 +7,13 @@ marginalisation: a ``ROLLUP`` over the window's growing prefixes sums them, so a
 count is that of the windows which begin with it, and a word's that of all windows at it.
 
 Windows are counted within tasks first, in buffers of a fixed number of words, then by
-Spark. They are the bulk of what is shuffled, so frequent words travel as short codes: the
-``CODED`` most frequent words of the corpus are numbered by a count over all texts. Codes
-only shorten keys; every count is of the words themselves.
+Spark. They are the bulk of what is shuffled, so they are shuffled once, and frequent words
+travel as short codes: the ``CODED`` most frequent words of the corpus are numbered by a
+count over all texts. Codes only shorten keys; every count is of the words themselves.
+Windows are dealt by their first two words, so pairs are whole where windows are counted,
+and rare pairs need not travel further than into the sums of their first words. Windows
+that begin with a word which makes up more than ``1 / HOT`` of the corpus are dealt by all
+their words, so no task gets all of a frequent pair; their pairs are summed by the rollup.
 
 Defined results: null and empty texts have no words; a null lang counts as ``und``, next to
 a lang of that name; repeated rows count each time, whatever their ids; ties of score and
@@ -37,6 +41,8 @@ TOP = 2000
 # Words that get a code, and how long these may be in bytes: what is broadcast is bounded.
 CODED = 2**18
 _LONGEST_CODED = 64
+# Words with more than one in so many of all places count as frequent; there are fewer of them.
+HOT = 1024
 # Words counted in a task before the counts go out.
 BUFFER = 2_000_000
 _SMALL_IDS = 2**21
@@ -51,7 +57,8 @@ _FOLD = bytes(
 
 def words_and_stops(text: bytes) -> list[bytes]:
     """The words of a text, A to Z in lower case, with a full stop between its pieces."""
-    return text.translate(_FOLD).replace(_STOP, b" . ").split(b" ")
+    # All that bytes.split() takes for blank is a space or a stop by then.
+    return text.translate(_FOLD).replace(_STOP, b" . ").split()
 
 
 def code(number: int) -> bytes:
@@ -65,17 +72,25 @@ def code(number: int) -> bytes:
 
 
 class _Ids(dict):
-    """Numbers for words as they come; 0 is a stop. Empty words have none."""
+    """Numbers for words as they come; 0 is a stop."""
+
+    def __init__(self):
+        super().__init__({_STOP: 0})
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self) + 1
+        self[word] = number = len(self)
         return number
 
+    def words(self) -> list[bytes]:
+        return list(self)[1:]
+
 
 def _numbered(text: bytes, ids: _Ids) -> np.ndarray:
-    words = [w for w in words_and_stops(text) if w]
+    words = words_and_stops(text)
     # Stops at the end, so that no window reaches into the next text.
-    return np.array([0 if w == _STOP else ids[w] for w in words] + [0, 0], np.int64)
+    out = np.zeros(len(words) + 2, np.int64)
+    out[:-2] = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+    return out
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -85,9 +100,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
         ids, parts, size = _Ids(), [], 0
 
         def counts():
-            n = np.bincount(np.concatenate(parts), minlength=len(ids) + 1)[1:]
+            n = np.bincount(np.concatenate(parts), minlength=len(ids))[1:]
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(ids), pa.binary()), pa.array(n, pa.int64())], ["word", "n"])
+                [pa.array(ids.words(), pa.binary()), pa.array(n, pa.int64())], ["word", "n"])
 
         for batch in batches:
             for text in batch.column(0):
@@ -96,7 +111,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 if size >= BUFFER:
                     yield counts()
                     ids, parts, size = _Ids(), [], 0
-        if ids:
+        if parts:
             yield counts()
 
     found = docs.filter("text is not null").select(F.col("text").cast("binary")).mapInArrow(
@@ -118,21 +133,33 @@ def _windows(parts: list[np.ndarray], known: int) -> tuple[np.ndarray, np.ndarra
     return rows.T, n
 
 
-def window_counts(docs: DataFrame, coded: dict[bytes, bytes]) -> DataFrame:
-    """``lang, key, n``: the windows and how often they come; a key joins words by spaces."""
-    shared = docs.sparkSession.sparkContext.broadcast(coded)
+def windows(docs: DataFrame, coded: dict[bytes, bytes], hot: list[bytes]) -> DataFrame:
+    """``lang, deal, rest, n``: windows and how often they come within a task's buffer.
+
+    ``deal`` and ``rest`` are the words of the window, joined by spaces: its first two and
+    the third, or all and none for windows that begin with a word in ``hot``.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((coded, frozenset(hot)))
+    schema = "lang string, deal binary, rest binary, n long"
 
     def counts(lang: str, ids: _Ids, parts: list[np.ndarray]):
         rows, n = _windows(parts, len(ids))
-        codes = shared.value
-        names = pa.array([None] + [codes.get(w, w) for w in ids], pa.large_binary())
+        codes, frequent = shared.value
+        words = ids.words()
+        names = pa.array([None] + [codes.get(w, w) for w in words], pa.large_binary())
+        is_hot = np.array([False] + [w in frequent for w in words])[rows[0]]
+        blank = pa.scalar(b" ", pa.large_binary())
         for low in range(0, len(n), 100_000):
             some = slice(low, low + 100_000)
-            columns = [names.take(pa.array(r[some])) for r in rows]
-            key = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary()), null_handling="skip")
+            first, second, third = (names.take(pa.array(r[some])) for r in rows)
+            pair = pc.binary_join_element_wise(first, second, blank, null_handling="skip")
+            whole = pc.binary_join_element_wise(pair, third, blank, null_handling="skip")
+            by_all = pa.array(is_hot[some])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(key), pa.string()), key.cast(pa.binary()), pa.array(n[some], pa.int64())],
-                ["lang", "key", "n"])
+                [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(pair), np.int8))),
+                 pc.if_else(by_all, whole, pair).cast(pa.binary()),
+                 pc.if_else(by_all, pa.scalar(None, pa.large_binary()), third).cast(pa.binary()),
+                 pa.array(n[some], pa.int64())], ["lang", "deal", "rest", "n"])
 
     def run(batches):
         langs: dict[str, tuple[_Ids, list]] = {}
@@ -149,32 +176,38 @@ def window_counts(docs: DataFrame, coded: dict[bytes, bytes]) -> DataFrame:
         for lang, (ids, parts) in langs.items():
             yield from counts(lang, ids, parts)
 
-    found = docs.filter("text is not null").select(
+    return docs.filter("text is not null").select(
         F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary")).mapInArrow(
-        run, "lang string, key binary, n long")
-    return found.groupBy("lang", F.col("key").cast("string").alias("key")).agg(F.sum("n").alias("n"))
+        run, schema).select("lang", F.col("deal").cast("string"), F.col("rest").cast("string"), "n")
 
 
-def marginalised(windows: DataFrame) -> DataFrame:
+def marginalised(found: DataFrame, hot: list[str]) -> DataFrame:
     """``lang, key, words, n``: counts of all prefixes of the windows that come often enough.
 
     ``words`` is 0 in the row of a lang's total.
     """
-    def prefix(words: int) -> Column:
-        return F.substring_index("key", " ", words)
-
-    gaps = F.length("key") - F.length(F.translate("key", " ", ""))
-    pair = F.when(gaps >= 1, prefix(2))
-    shorter = windows.select("lang", prefix(1).alias("first"), pair.alias("pair"), "n").rollup(
+    # Both sums below read this one exchange: they use the same columns and filter afterwards.
+    dealt = found.repartition(
+        int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lang", "deal")
+    key = F.concat_ws(" ", "deal", "rest")
+    # Taken as an aggregate, so that the filter stays above the exchange.
+    spaces = F.max(F.length(key) - F.length(F.translate(key, " ", "")))
+    longest = dealt.groupBy("lang", "deal", "rest").agg(
+        F.sum("n").alias("n"), spaces.alias("spaces")).filter(
+        (F.col("n") >= LEAST_COUNT) & (F.col("spaces") == LONGEST - 1)).select(
+        "lang", key.alias("key"), F.lit(LONGEST).alias("words"), "n")
+    pairs = dealt.groupBy("lang", "deal").agg(F.sum("n").alias("n"), F.count("rest").alias("_rest"))
+    first, pair = F.substring_index("deal", " ", 1), F.substring_index("deal", " ", 2)
+    # Only frequent words have pairs that are not whole yet. What else is rare is rare for good.
+    wanted = (F.col("_rest") >= 0) & (pair != first) & (
+        first.isin(hot) | (F.col("n") >= LEAST_COUNT))
+    shorter = pairs.select("lang", first.alias("first"), F.when(wanted, pair).alias("pair"), "n").rollup(
         "lang", "first", "pair").agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
-    # A window padded after its first word has no pair; its word is counted one level up.
     shorter = shorter.filter(
         ((F.col("level") == 0) & F.col("pair").isNotNull() & (F.col("n") >= LEAST_COUNT))
         | ((F.col("level") == 1) & (F.col("n") >= LEAST_COUNT)) | (F.col("level") == 3)).select(
         "lang", F.coalesce("pair", "first", F.lit("")).alias("key"),
         F.when(F.col("level") == 0, 2).when(F.col("level") == 1, 1).otherwise(0).alias("words"), "n")
-    longest = windows.filter((F.col("n") >= LEAST_COUNT) & (gaps == LONGEST - 1)).select(
-        "lang", "key", F.lit(LONGEST).alias("words"), "n")
     return shorter.unionByName(longest)
 
 
@@ -223,11 +256,15 @@ def _decoded(phrases: DataFrame, words: list[bytes]) -> DataFrame:
 
 def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each lang's first ``top`` phrases."""
-    often = word_counts(docs.select("text")).filter(F.length("word") <= _LONGEST_CODED)
-    often = often.orderBy(F.desc("n"), "word").limit(CODED).select("word").toArrow()
-    words = often.column(0).to_pylist()  # CODED words of _LONGEST_CODED bytes at most
+    often = written(word_counts(docs.select("text")), "words")
+    total = often.agg(F.sum("n")).first()[0] or 0
+    # CODED words of _LONGEST_CODED bytes at most.
+    often = often.filter(F.length("word") <= _LONGEST_CODED).orderBy(F.desc("n"), "word").limit(CODED).toArrow()
+    words = often["word"].to_pylist()
     coded = {w: code(i) for i, w in enumerate(words)}
-    counts = written(marginalised(window_counts(docs, coded)), "counts")
+    hot = [w for w, n in zip(words, often["n"].to_pylist()) if HOT * n > total]
+    found = windows(docs, coded, hot)
+    counts = written(marginalised(found, [coded[w].decode() for w in hot]), "counts")
     phrases = written(scored(counts), "phrases")
     totals = counts.filter("words = 0").select(F.col("lang").alias("_lang"), F.col("n").alias("_total"))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

@@ -9,7 +9,13 @@ per language: the share of its n-grams that a language holds, less what its filt
 by mistake. The largest share names the language and is the score.
 
 N-grams lie within a word, its ends marked by a blank; letters and marks in lower case
-make words, all else parts them.
+make words, all else parts them. Scripts that do not part words by blanks give pairs of
+characters in place of longer n-grams.
+
+How large a share is usual differs from language to language, and falls with the number of
+different n-grams a language has. So a text counts as ``foreign`` only by what its own
+language's learning texts show: if its score is under half of the score that all but one in
+a hundred of these reach. What is too short to be judged so is not foreign.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, as is
 every text if nothing could be learned; a text too short for an n-gram gets the language
@@ -21,14 +27,14 @@ as often as they come. An empty table gives no rows.
 from __future__ import annotations
 
 import unicodedata
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from codesift.session import written
 
@@ -41,34 +47,53 @@ HASHES = 3
 LEAST_RATE = 1e-5
 # And its share is at least this part of its share in any other language.
 LEAST_RATIO = 0.1
+# A text with fewer n-grams is not called foreign.
+LEAST_GRAMS = 30
+# The part of a language's learning texts that may score below its floor, and the part of
+# the floor under which a text is foreign.
+FLOOR_QUANTILE = 0.01
+FLOOR_SHARE = 0.5
+# Scripts whose words are not parted by blanks: Thai, Lao, Tibetan, Myanmar, Khmer, kana,
+# Han with its extensions.
+UNPARTED = [(0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF),
+            (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)]
 # Characters worked on at a time within a task.
 _CHUNK = 2_000_000
 _BLANK = np.uint32(32)
 
 
 @lru_cache(1)
-def _letters() -> tuple[np.ndarray, np.ndarray]:
-    """For every code point: is it a letter, is it a letter or a mark."""
+def _letters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every code point: is it a letter, a letter or a mark, one of an unparted script."""
     kinds = [unicodedata.category(chr(c))[0] for c in range(0x110000)]
     letter = np.array([k == "L" for k in kinds])
-    return letter, letter | np.array([k == "M" for k in kinds])
+    inside = letter | np.array([k == "M" for k in kinds])
+    unparted = np.zeros(0x110000, bool)
+    for low, high in UNPARTED:
+        unparted[low: high + 1] = True
+    return letter, inside, unparted & inside
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """N-gram keys of all texts, the text each comes from, and which texts have a letter."""
-    letter, inside = _letters()
+    letter, inside, unparted = _letters()
     lowered = [t.lower() for t in texts]
     lengths = np.fromiter((len(t) + 1 for t in lowered), np.int64, len(lowered))
-    codes = np.frombuffer((" " + " ".join(lowered) + " ").encode("utf-32-le", "surrogatepass"),
+    # Two blanks at the end, so that the last pair of characters begins a window too.
+    codes = np.frombuffer((" " + " ".join(lowered) + "   ").encode("utf-32-le", "surrogatepass"),
                           np.uint32)
     of = np.repeat(np.arange(len(texts)), lengths)
     has = np.zeros(len(texts), bool)
-    has[of[letter[codes[1:]]]] = True
+    of = np.concatenate([[0], of, of[-1:], of[-1:]])
+    has[of[letter[codes]]] = True
     blank = ~inside[codes]
     keep = ~blank
     keep[1:] |= ~blank[:-1]
-    codes = np.where(blank, _BLANK, codes)[keep].astype(np.uint64)
-    of = np.concatenate([[0], of])[keep]
+    keep[-2:] = True
+    codes = np.where(blank, _BLANK, codes)[keep]
+    of = of[keep]
+    single = unparted[codes]
+    codes = codes.astype(np.uint64)
     n = len(codes) - GRAM + 1
     if n <= 0:
         return np.empty(0, np.uint64), np.empty(0, np.int64), has
@@ -79,6 +104,10 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         key = (key << np.uint64(16)) ^ codes[i: i + n]
         if 0 < i < GRAM - 1:
             good &= words[i: i + n]
+    # Pairs where the window begins in an unparted script; no window runs into one.
+    pair = single[:n] & words[1: n + 1]
+    key = np.where(single[:n], (codes[:n] << np.uint64(16)) ^ codes[1: n + 1], key)
+    good = np.where(single[:n], pair, good & ~single[1: n + 1])
     return key[good], of[1: n + 1][good], has
 
 
@@ -108,13 +137,15 @@ def _chunks(texts, size: int = _CHUNK):
 class Filters:
     """The languages, their bit-sliced filters, their error rates, and the most common one.
 
-    ``masks`` has a row per 64 languages and ``2 ** SLOT_BITS`` slots in each.
+    ``masks`` has a row per 64 languages and ``2 ** SLOT_BITS`` slots in each; ``floors``
+    are the scores that nearly all learning texts of a language reach, 0 where not asked for.
     """
 
     languages: list[str]
     masks: np.ndarray
     errors: np.ndarray
     common: int
+    floors: np.ndarray
 
 
 def learn(docs: DataFrame) -> Filters:
@@ -168,13 +199,14 @@ def learn(docs: DataFrame) -> Filters:
     errors = np.array([float((masks[i // 64] >> np.uint64(i % 64) & np.uint64(1)).mean()) ** HASHES
                        for i in range(len(languages))])
     common = max(range(len(counted)), key=lambda i: (counted[i][1], -i)) if counted else -1
-    return Filters(languages, masks, errors, common)
+    return Filters(languages, masks, errors, common, np.zeros(len(languages)))
 
 
-def judge(texts: list[str], filters: Filters) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
+def judge(texts: list[str], filters: Filters) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language and score of each text, and whether it is foreign."""
     keys, of, has = grams(texts)
     names, scores = np.full(len(texts), filters.common), np.zeros(len(texts))
+    sizes = np.bincount(of, minlength=len(texts))
     if len(keys) and filters.languages:
         slots = slots_of(keys)
         starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
@@ -193,16 +225,27 @@ def judge(texts: list[str], filters: Filters) -> tuple[list[str], np.ndarray]:
         names[present] = best
         scores[present] = np.clip(shares[best, np.arange(len(best))], 0.0, 1.0)
     known = has & (names >= 0)
+    floors = filters.floors[names] if len(filters.floors) else np.zeros(len(texts))
+    foreign = known & (sizes >= LEAST_GRAMS) & (scores < FLOOR_SHARE * floors)
     return ([filters.languages[n] if k else UNKNOWN for n, k in zip(names, known)],
-            np.where(known, scores, 0.0))
+            np.where(known, scores, 0.0), foreign)
+
+
+def with_floors(docs: DataFrame, filters: Filters) -> Filters:
+    """``filters`` with the floors that the learning rows ``docs`` show."""
+    judged = predicted(docs.select("text", "lang").filter("text is not null and lang is not null"), filters)
+    # One row per language; quantiles of a fixed accuracy.
+    found = {r[0]: r[1] for r in judged.filter("lang = lang_pred and score > 0").groupBy("lang").agg(
+        F.percentile_approx("score", FLOOR_QUANTILE, 10_000)).collect()}
+    return replace(filters, floors=np.array([found.get(x, 0.0) for x in filters.languages]))
 
 
 def predicted(docs: DataFrame, filters: Filters) -> DataFrame:
-    """All rows of ``docs`` with ``lang_pred`` and ``score``; only the text is looked at.
+    """All rows of ``docs`` with ``lang_pred``, ``score`` and ``foreign``, from the text alone.
 
     Columns of these names are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop("lang_pred", "score", "foreign")
     # 8 bytes for each of 2 ** SLOT_BITS slots and 64 languages: 8 MB, whatever the corpus.
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
@@ -210,16 +253,18 @@ def predicted(docs: DataFrame, filters: Filters) -> DataFrame:
         known = shared.value
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            names, scores = [], []
+            names, scores, odd = [], [np.empty(0)], [np.empty(0, bool)]
             for low, high in _chunks(texts):
-                found, score = judge(texts[low:high], known)
+                found, score, foreign = judge(texts[low:high], known)
                 names += found
                 scores.append(score)
+                odd.append(foreign)
             yield batch.append_column("lang_pred", pa.array(names, pa.string())).append_column(
-                "score", pa.array(np.concatenate(scores) if scores else [], pa.float64()))
+                "score", pa.array(np.concatenate(scores), pa.float64())).append_column(
+                "foreign", pa.array(np.concatenate(odd), pa.bool_()))
 
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()),
-                         StructField("score", DoubleType())])
+                         StructField("score", DoubleType()), StructField("foreign", BooleanType())])
     return docs.mapInArrow(run, schema)
 
 
@@ -228,9 +273,14 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``held_out, lang_pred, score``, learned from the rows not held out."""
+def identified(docs: DataFrame, floors: bool = False) -> DataFrame:
+    """``docs`` with ``held_out, lang_pred, score, foreign``, learned from the rows not held out.
+
+    Nothing is foreign without ``floors``, which take one more pass over the learning rows.
+    """
     docs = docs.drop("held_out")
     learning = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     filters = learn(learning)
+    if floors:
+        filters = with_floors(learning, filters)
     return predicted(docs, filters).withColumn("held_out", held_out(F.col("doc_id")))

@@ -110,3 +110,37 @@ def test_odd_rows(odd, none):
     assert not any(r.held_out for r in found if r.doc_id is None)
     assert langid.identified(none).count() == 0
     assert {r.lang_pred for r in langid.predicted(odd, langid.learn(none)).collect()} == {"und"}
+
+
+def han_and_english(seed=3):
+    rng = random.Random(seed)
+    signs = [chr(0x4E00 + i) for i in range(3000)]
+    odds = [1 / (i + 1) for i in range(3000)]
+    rows = []
+    for i in range(600):
+        drawn = rng.choices(signs, odds, k=720)
+        rows.append((i, "。".join("".join(drawn[j: j + 12]) for j in range(0, 720, 12)), "zh"))
+    return rows + [(600 + i, t, "en") for i, t, lang in texts(900, seed) if lang == "en"]
+
+
+def test_scripts_without_blanks(spark, make):
+    import corpus_pipeline
+
+    rows = han_and_english()
+    junk = [(9000 + i, " ".join("".join(chr(0x410 + (7 * i + j * k) % 32) for k in range(1, 9)) for j in range(40)),
+             None) for i in range(20)]
+    short = [(9500, "你", None), (9501, "x y z", None), (9502, "Да.", None)]
+    schema = "doc_id long, text string, lang string"
+    found = langid.identified(make(rows + junk + short, schema), floors=True).collect()
+    lang = {d: x for d, _, x in rows}
+    assert all(r.lang_pred == lang[r.doc_id] for r in found if r.doc_id in lang and r.held_out)
+    docs = make([(*r, "s", 1) for r in rows + junk + short], schema + ", source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert kept == set(lang) | {9500, 9501, 9502}
+
+
+def test_pairs_in_unparted_scripts():
+    keys, of, has = langid.grams(["你好世 abcd", "好", "กข", "ab你"])
+    found = [("".join(chr(int(k) >> s & 0xFFFF) for s in (48, 32, 16, 0)).strip("\0"), int(o)) for k, o in zip(keys, of)]
+    assert found == [("你好", 0), ("好世", 0), (" abc", 0), ("abcd", 0), ("bcd ", 0), ("กข", 2), (" ab你", 3), ("ab你 ", 3)]
+    assert has.tolist() == [True] * 4
