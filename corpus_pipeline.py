@@ -3,6 +3,12 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; its rows are written
 and read back as the ``docs`` of the next one. Columns that ``docs`` has besides those of
 ``documents`` go through all stages but the last, whatever their names.
+
+Rows of an empty table give none at any stage. Nulls, ties and repeated rows have these
+results: a document without a letter (a null text too) goes by its language; a null lang or
+source teaches or makes up no language, and is a source of its own; a null doc_id is never
+a copy of a line or text and stays; rows that repeat a doc_id stay or go together, but in
+the line stage, which tells them apart; each row is drawn and packed for itself.
 """
 
 from __future__ import annotations
@@ -15,8 +21,6 @@ from codesift.llm import langid, linededup, mixing, neardup, packing
 from codesift.llm.common import table
 from codesift.session import ship_package, written
 
-# A document goes if no language explains this share of its n-grams.
-LEAST_LANGUAGE_SCORE = 0.2
 _ROW = "_row"
 
 
@@ -31,10 +35,13 @@ def _unpacked(rows: DataFrame, like: DataFrame, **own) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or in no learned language, go."""
+    """Documents without letters, or foreign to the language they are nearest to, go.
+
+    Documents too short to tell stay, and so do languages of which no text scores high.
+    """
     ship_package(spark)
-    rows = langid.identified(_packed(docs, "doc_id", "text", "lang")).filter(
-        (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    rows = langid.identified(_packed(docs, "doc_id", "text", "lang"), floors=True).filter(
+        (F.col("lang_pred") != langid.UNKNOWN) & ~F.col("foreign"))
     return _unpacked(rows, docs, doc_id=F.col("doc_id"), text=F.col("text"), lang=F.col("lang"))
 
 
