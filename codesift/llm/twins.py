@@ -33,23 +33,42 @@ SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS
 FROM n JOIN c ON n.doc_id = c.doc_id
 """
 
-_OP8 = r"""
+_BELONGS = ("100 * len(list_filter(list_zip(tokens[5:], seed[5:]), lambda z: z[1] = z[2])) "
+            ">= 70 * (len(tokens) - 4)")
+_ROUNDS = "".join(f"""
+b{n} AS (
+  SELECT *, {_BELONGS} AS belongs FROM (
+    SELECT doc_id, line, leaf, tokens, first_value(tokens) OVER (
+      PARTITION BY leaf ORDER BY doc_id, line) AS seed FROM {f'b{n - 1} WHERE NOT belongs' if n > 1 else 't WHERE telling'})),"""
+                  for n in (1, 2, 3))
+_OP8 = rf"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 l AS (
   SELECT doc_id, unnest(lines) AS text, generate_subscripts(lines, 1) - 1 AS line FROM d),
-k AS (
-  SELECT doc_id, line, list_transform(regexp_extract_all(text, '[^\x20\x09\x0B-\x0D]+'),
-    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens FROM l),
+k AS (SELECT doc_id, line, text, regexp_extract_all(text, '[^\x20\x09\x0B-\x0D]+') AS raw FROM l),
+m AS (
+  SELECT doc_id, line, text, raw, list_transform(raw,
+    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
+  FROM k WHERE len(raw) > 0),
 t AS (
   SELECT *, (len(tokens), tokens[1:4]) AS leaf,
-    first_value(tokens) OVER (
-      PARTITION BY len(tokens), tokens[1:4] ORDER BY doc_id, line) AS seed
-  FROM k WHERE len(tokens) >= 5),
-n AS (
-  SELECT *, CASE WHEN 100 * len(list_filter(list_zip(tokens, seed), lambda z: z[1] = z[2]))
-    >= 70 * len(tokens) THEN seed ELSE tokens END AS template FROM t),
-g AS (SELECT *, min(doc_id) OVER (PARTITION BY leaf, template) AS home FROM n),
-x AS (SELECT doc_id, line FROM g WHERE doc_id > home),
+    len(raw) >= 5 AND 2 * len(list_filter(tokens, lambda t: t = '<*>')) <= len(raw) AS telling,
+    len(raw) < 5 AND length(text) < 20 AS short FROM m),
+e AS (
+  SELECT raw, min(doc_id) AS home FROM t GROUP BY raw
+  HAVING count(DISTINCT doc_id) >= CASE WHEN bool_and(short) THEN 10 ELSE 2 END),
+{_ROUNDS}
+a AS (
+  SELECT doc_id, line, leaf, seed AS template FROM b1 WHERE belongs
+  UNION ALL SELECT doc_id, line, leaf, seed FROM b2 WHERE belongs
+  UNION ALL SELECT doc_id, line, leaf, CASE WHEN belongs THEN seed ELSE tokens END FROM b3),
+g AS (
+  SELECT leaf, template, min(doc_id) AS home FROM a GROUP BY leaf, template
+  HAVING count(DISTINCT doc_id) >= 5),
+x AS (
+  SELECT doc_id, line FROM t JOIN e ON e.raw = t.raw WHERE doc_id > home
+  UNION
+  SELECT doc_id, line FROM a JOIN g ON g.leaf = a.leaf AND g.template = a.template WHERE doc_id > home),
 r AS (
   SELECT l.doc_id, string_agg(l.text, chr(10) ORDER BY l.line) AS clean
   FROM l LEFT JOIN x ON l.doc_id = x.doc_id AND l.line = x.line

@@ -105,3 +105,54 @@ def test_components(make):
     found = {tuple(r) for r in components(make(edges, "a long, b long")).collect()}
     assert found == {(i, 0) for i in range(31)} | {(100, 100), (150, 100), (200, 100)}
     assert components(make([], "a long, b long")).count() == 0
+
+
+def recorded(monkeypatch, name, of):
+    """What a function of the module is called on, by count."""
+    seen, plain = [], getattr(neardup, name)
+
+    def run(*args):
+        seen.append(of(*args))
+        return plain(*args)
+
+    monkeypatch.setattr(neardup, name, run)
+    return seen
+
+
+def test_a_closed_group_is_not_expanded(make, monkeypatch):
+    # 800 near copies are one component before the exact join, which has nothing left to do.
+    rng = random.Random(12)
+    text = prose(31, 100)
+    rows = [(i, edited(text, rng, 0.01)) for i in range(800)] + [(900, prose(32, 100))]
+    expanded = recorded(monkeypatch, "_prefixes", lambda sets: sets.count())
+    found = neardup.near_duplicates(make(rows)).collect()
+    assert {r.component_id for r in found} == {0, 900} and expanded == []
+
+
+def test_a_shared_passage_makes_no_pairs(make, monkeypatch):
+    # 84 words of 100 are the same in all, which is just too little; each is its own component.
+    passage = prose(41, 84)
+    rows = [(i, passage + " " + " ".join(f"own{i}x{j}" for j in range(16))) for i in range(2000)]
+    pairs = recorded(monkeypatch, "confirmed", lambda pairs, sets: pairs.count())
+    expanded = recorded(monkeypatch, "_prefixes", lambda sets: sets.count())
+    found = neardup.near_duplicates(make(rows)).collect()
+    assert all(r.kept for r in found) and len(found) == 2000
+    assert expanded == [2000]
+    # The last join tries none; neighbours and hubs are a few for each document.
+    assert pairs[-1] == 0 and sum(pairs) <= 70 * 2000
+
+
+def test_blocks_give_all_pairs(make, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, rng.randrange(20, 40), i, float(i % 3), key, rng.randrange(0, 6))
+            for i in range(60) for key in rng.sample(range(9), 3)]
+    docs = make(rows, "id long, n long, component long, typical double, key long, at long")
+    want = set()
+    for a in rows:
+        for b in rows:
+            need, left = 75 * (a[1] + b[1]), min(a[1] - a[5], b[1] - b[5])
+            if a[4] == b[4] and a[0] < b[0] and 100 * min(a[1], b[1]) >= 75 * max(a[1], b[1]) and 175 * left >= need:
+                want.add((a[0], b[0]))
+    for block in (512, 4):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        assert {tuple(r) for r in neardup.met_in_blocks(docs).collect()} == want
