@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codesift.session import written
@@ -56,27 +56,51 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     The component is the smallest id in it. Large-star and small-star steps take turns
     until nothing changes (Kiveris et al., 2014); every step is written to the shared
     folder, so lineage stays short and a lost executor repeats one step at most. Nothing
-    but two sums per step reaches the driver.
+    but two sums per step reaches the driver, and these are taken while it is written.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .filter("a <> b").distinct(), name)
     seen = None
     while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = edges.select(F.inline(F.array(
+            F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         lowest = both.groupBy("a").agg(F.min("b").alias("_m")).select(
             F.col("a").alias("_a"), F.least("a", "_m").alias("_m"))
+        # Edges that come twice go in the other step.
         large = both.join(lowest, F.col("a") == F.col("_a")).filter("b > a").select(
-            F.col("b").alias("a"), F.col("_m").alias("b")).distinct()
+            F.col("b").alias("a"), F.col("_m").alias("b"))
         large = written(large, name)
         lowest = large.groupBy("a").agg(F.min("b").alias("_m")).withColumnRenamed("a", "_a")
-        small = large.join(lowest, F.col("a") == F.col("_a"))
-        edges = written(
-            small.select(F.col("b").alias("a"), F.col("_m").alias("b"))
-            .union(small.select("a", F.col("_m").alias("b")))
-            .filter("a <> b").distinct(), name)
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
+        small = large.join(lowest, F.col("a") == F.col("_a")).select(F.inline(F.array(
+            F.struct(F.col("b").alias("a"), F.col("_m").alias("b")),
+            F.struct("a", F.col("_m").alias("b")))))
+        state = Observation()
+        edges = written(small.filter("a <> b").distinct().observe(
+            state, F.count("*").alias("n"),
+            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), name)
+        if state.get == seen:
             return edges.groupBy("a").agg(F.min("b").alias("component")).select(
                 F.col("a").alias("id"), "component").union(
                 edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
-        seen = state
+        seen = state.get
+
+
+def with_more_edges(label: DataFrame, edges: DataFrame, name: str = "components") -> DataFrame:
+    """The components ``(id, component)`` once ``edges`` join some of them.
+
+    Works on the edges between components alone; without any, ``label`` stays as it is.
+    """
+    for end in ("a", "b"):
+        known = label.select(F.col("id").alias("_id"), F.col("component").alias("_c"))
+        edges = edges.join(known, F.col(end) == F.col("_id"), "left").withColumn(
+            end, F.coalesce("_c", end)).drop("_id", "_c")
+    edges = written(edges.select("a", "b").filter("a <> b"), name)
+    if edges.isEmpty():
+        return label
+    moved = written(components(edges, name), name).select(
+        F.col("id").alias("_from"), F.col("component").alias("_to"))
+    old = label.join(moved, F.col("component") == F.col("_from"), "left").select(
+        "id", F.coalesce("_to", "component").alias("component"))
+    new = moved.join(label, F.col("_from") == F.col("id"), "left_anti").select(
+        F.col("_from").alias("id"), F.col("_to").alias("component"))
+    return written(old.union(new), name)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codesift.llm.common import components
+from codesift.llm.common import components, with_more_edges
 from codesift.llm.hashing import ODD, mixed, window_hashes, word_hashes
 from codesift.session import written
 
@@ -265,9 +265,9 @@ def _prefixes(sets: DataFrame) -> DataFrame:
         run, "id long, n long, component long, typical double, key long, at long")
 
 
-def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
     """``rows`` with the ``component`` of each ``id``."""
-    label = components(links).select(F.col("id").alias("_id"), F.col("component").alias("_label"))
+    label = label.select(F.col("id").alias("_id"), F.col("component").alias("_label"))
     return rows.drop("component").join(label, F.col("id") == F.col("_id"), "left").withColumn(
         "component", F.coalesce("_label", "id")).drop("_id", "_label")
 
@@ -331,23 +331,22 @@ def met_in_blocks(rows: DataFrame) -> DataFrame:
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def rest_of_links(crowded: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """``links``, and those that still join components of crowded regions, none left out."""
+def with_rest_of_links(crowded: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
+    """``label`` once the links that still join components of crowded regions are in it."""
     if crowded.isEmpty():
-        return links
-    open_rows = written(_several(written(_labelled(crowded, links), "crowded"), "region").select(
+        return label
+    open_rows = written(_several(written(_labelled(crowded, label), "crowded"), "region").select(
         "id", "component").distinct(), "open")
     if open_rows.isEmpty():
-        return links
+        return label
     own = sets.join(open_rows.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id")
     rows = written(_several(written(_prefixes(written(own, "open_sets")), "prefixes"), "key"), "mixed")
     met = written(met_at_hubs(rows), "pairs")
-    more = written(confirmed(met, sets), "links")
-    if not more.isEmpty():
-        links = written(links.union(more), "links")
-        rows = written(_several(written(_labelled(rows, links), "mixed"), "key"), "mixed")
+    more = with_more_edges(label, confirmed(met, sets))
+    if more is not label:
+        rows = written(_several(written(_labelled(rows, more), "mixed"), "key"), "mixed")
     others = written(met_in_blocks(rows).join(met, ["a", "b"], "left_anti"), "pairs")
-    return links.union(confirmed(others, sets))
+    return with_more_edges(more, confirmed(others, sets))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -370,17 +369,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     chosen = written(best.select("m.a", "m.b").distinct(), "chosen")
     links = written(confirmed(chosen, sets), "links")
 
-    def across(pairs: DataFrame, label: DataFrame) -> DataFrame:
-        for end in ("a", "b"):
-            pairs = pairs.join(label.select(F.col("id").alias(end), F.col("component").alias(f"_{end}")),
-                               end, "left")
-        return pairs.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
-
+    label = written(components(links), "label")
     others = close.join(chosen, ["a", "b"], "left_anti")
-    links = written(links.union(confirmed(across(others, components(links)), sets)), "links")
-    wide = candidates(_labelled(rows, links), FAR).join(close, ["a", "b"], "left_anti")
-    third = confirmed(written(wide, "pairs"), sets)
-    whole = components(rest_of_links(crowded, sets, written(links.union(third), "links")))
+    for end in ("a", "b"):
+        others = others.join(label.select(F.col("id").alias(end), F.col("component").alias(f"_{end}")), end, "left")
+    others = others.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
+    label = with_more_edges(label, confirmed(others, sets))
+    wide = candidates(_labelled(rows, label), FAR).join(close, ["a", "b"], "left_anti")
+    label = with_more_edges(label, confirmed(written(wide, "pairs"), sets))
+    whole = with_rest_of_links(crowded, sets, label)
     named = classes.select("words_key", F.col("id").alias("_class"))
     named = named.join(whole.select(F.col("id").alias("_class"), "component"), "_class", "left")
     named = named.select(F.col("words_key"), F.coalesce("component", "_class").alias("_component"))

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 
 from codesift.llm import neardup
-from codesift.llm.common import components
+from codesift.llm.common import components, with_more_edges
 
 from .conftest import odd_rows, prose
 
@@ -107,6 +107,15 @@ def test_components(make):
     assert components(make([], "a long, b long")).count() == 0
 
 
+def test_more_edges(make):
+    label = components(make([(1, 2), (2, 3), (10, 11), (20, 21)], "a long, b long"))
+    assert with_more_edges(label, make([(1, 3)], "a long, b long")) is label
+    assert with_more_edges(label, make([], "a long, b long")) is label
+    found = with_more_edges(label, make([(11, 3), (21, 30), (40, 41)], "a long, b long"))
+    assert {tuple(r) for r in found.collect()} == {
+        *((i, 1) for i in (1, 2, 3, 10, 11)), (20, 20), (21, 20), (30, 20), (40, 40), (41, 40)}
+
+
 def recorded(monkeypatch, name, of):
     """What a function of the module is called on, by count."""
     seen, plain = [], getattr(neardup, name)
