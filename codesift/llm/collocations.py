@@ -6,14 +6,15 @@ ends. Only these windows are counted. What shorter phrases come to follows by
 marginalisation: a ``ROLLUP`` over the window's growing prefixes sums them, so a phrase's
 count is that of the windows which begin with it, and a word's that of all windows at it.
 
-Windows are counted within tasks first, in buffers of a fixed number of words, then by
-Spark. They are the bulk of what is shuffled, so they are shuffled once, and frequent words
-travel as short codes: the ``CODED`` most frequent words of the corpus are numbered by a
-count over all texts. Codes only shorten keys; every count is of the words themselves.
-Windows are dealt by their first two words, so pairs are whole where windows are counted,
-and rare pairs need not travel further than into the sums of their first words. Windows
-that begin with a word which makes up more than ``1 / HOT`` of the corpus are dealt by all
-their words, so no task gets all of a frequent pair; their pairs are summed by the rollup.
+Most windows come once. A phrase that comes ``LEAST_COUNT`` times has only pairs of words
+that do, so a window may be padded from the first pair on that is surely rarer, and no
+count that matters changes. Which pairs are rare a filter of hashed counts tells (after
+Park, Chen and Yu, 1995): counts of pairs by bucket, summed over all texts, leave one bit
+for each bucket. A bucket of several pairs may seem frequent and then merely costs time.
+The filter has about one bit for two words and ``MOST_BITS`` at most, so what is broadcast
+is bounded; on corpora far beyond that size it pads less, with the same results.
+
+Windows are counted within tasks first, in buffers of a fixed number of words, then by Spark.
 
 Defined results: null and empty texts have no words; a null lang counts as ``und``, next to
 a lang of that name; repeated rows count each time, whatever their ids; ties of score and
@@ -29,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from codesift.llm.hashing import ODD, mixed, word_hashes
 from codesift.session import written
 
 STOPS = ".,;:!?\n\x0b\x0c\r"
@@ -38,17 +40,14 @@ LEAST_COUNT = 10
 INSIDE_PERCENT = 50
 SCALE = 1_000_000
 TOP = 2000
-# Words that get a code, and how long these may be in bytes: what is broadcast is bounded.
-CODED = 2**18
-_LONGEST_CODED = 64
-# Words with more than one in so many of all places count as frequent; there are fewer of them.
-HOT = 1024
 # Words counted in a task before the counts go out.
 BUFFER = 2_000_000
+# Bits of a bucket's number in the filter: 8 kB for the least, 64 MB for the most.
+LEAST_BITS, MOST_BITS = 16, 29
+_BYTES_A_BIT = 12
+# Buckets whose counts travel together.
+_CHUNK_BITS = 16
 _SMALL_IDS = 2**21
-# No word holds a space or a tab: a space parts the words of a key, a tab marks a code.
-_MARK = b"\t"
-_DIGITS = bytes(range(0x23, 0x7F))
 _STOP = b"."
 _FOLD = bytes(
     ord(_STOP) if chr(c) in STOPS else 0x20 if c == 9 else c + 32 if 65 <= c <= 90 else c
@@ -61,16 +60,6 @@ def words_and_stops(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).replace(_STOP, b" . ").split()
 
 
-def code(number: int) -> bytes:
-    """The ``number``-th shortest code."""
-    digits = bytearray()
-    number += 1
-    while number:
-        number, digit = divmod(number - 1, len(_DIGITS))
-        digits.append(_DIGITS[digit])
-    return _MARK + bytes(digits)
-
-
 class _Ids(dict):
     """Numbers for words as they come; 0 is a stop."""
 
@@ -93,37 +82,84 @@ def _numbered(text: bytes, ids: _Ids) -> np.ndarray:
     return out
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``word, n`` of the words, counted over all texts."""
+def _buffers(batches):
+    """``lang, ids, numbers`` of about ``BUFFER`` words of texts, a lang at a time."""
+    langs: dict[str, tuple[_Ids, list]] = {}
+    size = 0
 
-    def run(batches):
-        ids, parts, size = _Ids(), [], 0
+    def held():
+        return [(lang, ids, np.concatenate(parts)) for lang, (ids, parts) in langs.items()]
 
-        def counts():
-            n = np.bincount(np.concatenate(parts), minlength=len(ids))[1:]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids.words(), pa.binary()), pa.array(n, pa.int64())], ["word", "n"])
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids, parts = langs.setdefault(lang, (_Ids(), []))
+            parts.append(_numbered(text.as_py(), ids))
+            size += len(parts[-1])
+            if size >= BUFFER:
+                yield from held()
+                langs, size = {}, 0
+    yield from held()
 
+
+def _pair_buckets(lang: str, ids: _Ids, numbers: np.ndarray, bits: int) -> np.ndarray:
+    """The filter's bucket for the pair that begins at each place but the last."""
+    hashes = np.concatenate([np.zeros(1, np.uint64), word_hashes(ids.words())])[numbers]
+    own = word_hashes([lang.encode()])[0]
+    return (mixed((hashes[:-1] * ODD + hashes[1:]) * ODD + own) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.filter("text is not null").select(
+        F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary"))
+
+
+def frequent_pairs(docs: DataFrame, bits: int) -> np.ndarray:
+    """The filter: 8 buckets a byte, a bit set where ``LEAST_COUNT`` pairs or more fell."""
+    size = 1 << min(_CHUNK_BITS, bits)
+
+    def count(batches):
+        for lang, ids, numbers in _buffers(batches):
+            pair = (numbers[:-1] != 0) & (numbers[1:] != 0)
+            found, n = np.unique(_pair_buckets(lang, ids, numbers, bits)[pair], return_counts=True)
+            n = np.minimum(n, LEAST_COUNT).astype(np.uint8)
+            chunk, at = found // size, (found % size).astype(np.uint16)
+            starts = np.flatnonzero(np.diff(chunk, prepend=-1))
+            ends = [*starts[1:], len(chunk)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chunk[starts]),
+                 pa.array([at[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()),
+                 pa.array([n[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary())],
+                ["chunk", "places", "counts"])
+
+    def add_up(batches):
+        sums: dict[int, np.ndarray] = {}  # the chunks of this task, whatever the corpus
         for batch in batches:
-            for text in batch.column(0):
-                parts.append(_numbered(text.as_py(), ids))
-                size += len(parts[-1])
-                if size >= BUFFER:
-                    yield counts()
-                    ids, parts, size = _Ids(), [], 0
-        if parts:
-            yield counts()
-
-    found = docs.filter("text is not null").select(F.col("text").cast("binary")).mapInArrow(
-        run, "word binary, n long")
-    return found.groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _windows(parts: list[np.ndarray], known: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct padded windows of numbered words, as rows of three numbers, and their counts."""
-    ids = np.concatenate(parts)
-    first, second, third = ids[:-2], ids[1:-1], ids[2:].copy()
-    third[second == 0] = 0
+            for chunk, places, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                total = sums.setdefault(chunk, np.zeros(size, np.uint8))
+                at = np.frombuffer(places, np.uint16)
+                total[at] = np.minimum(total[at] + np.frombuffer(counts, np.uint8), LEAST_COUNT)
+        for chunk, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.array([np.packbits(total >= LEAST_COUNT).tobytes()], pa.binary())],
+                ["chunk", "bits"])
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = _texts(docs).mapInArrow(count, "chunk long, places binary, counts binary").repartition(
+        parts, "chunk").mapInArrow(add_up, "chunk long, bits binary").toArrow()
+    whole = np.zeros((1 << bits) // size * (size // 8), np.uint8)
+    for chunk, part in zip(*(c.to_pylist() for c in found.columns)):
+        whole[chunk * (size // 8): (chunk + 1) * (size // 8)] = np.frombuffer(part, np.uint8)
+    return whole
+
+
+def _windows(numbers: np.ndarray, often: np.ndarray, known: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct padded windows of numbered words, as rows of three numbers, and their counts.
+
+    ``often`` says of each place but the last whether the pair there may be frequent.
+    """
+    first = numbers[:-2]
+    second = np.where(often[:-1], numbers[1:-1], 0)
+    third = np.where((second != 0) & often[1:], numbers[2:], 0)
     at = first != 0
     if known < _SMALL_IDS:
         packed, n = np.unique((first[at] << 42) | (second[at] << 21) | third[at], return_counts=True)
@@ -133,81 +169,49 @@ def _windows(parts: list[np.ndarray], known: int) -> tuple[np.ndarray, np.ndarra
     return rows.T, n
 
 
-def windows(docs: DataFrame, coded: dict[bytes, bytes], hot: list[bytes]) -> DataFrame:
-    """``lang, deal, rest, n``: windows and how often they come within a task's buffer.
+def window_counts(docs: DataFrame, often: np.ndarray, bits: int) -> DataFrame:
+    """``lang, key, n``: the windows and how often they come; a key joins words by spaces."""
+    shared = docs.sparkSession.sparkContext.broadcast(often)
 
-    ``deal`` and ``rest`` are the words of the window, joined by spaces: its first two and
-    the third, or all and none for windows that begin with a word in ``hot``.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast((coded, frozenset(hot)))
-    schema = "lang string, deal binary, rest binary, n long"
-
-    def counts(lang: str, ids: _Ids, parts: list[np.ndarray]):
-        rows, n = _windows(parts, len(ids))
-        codes, frequent = shared.value
-        words = ids.words()
-        names = pa.array([None] + [codes.get(w, w) for w in words], pa.large_binary())
-        is_hot = np.array([False] + [w in frequent for w in words])[rows[0]]
+    def run(batches):
+        bitmap = shared.value
         blank = pa.scalar(b" ", pa.large_binary())
-        for low in range(0, len(n), 100_000):
-            some = slice(low, low + 100_000)
-            first, second, third = (names.take(pa.array(r[some])) for r in rows)
-            pair = pc.binary_join_element_wise(first, second, blank, null_handling="skip")
-            whole = pc.binary_join_element_wise(pair, third, blank, null_handling="skip")
-            by_all = pa.array(is_hot[some])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(pair), np.int8))),
-                 pc.if_else(by_all, whole, pair).cast(pa.binary()),
-                 pc.if_else(by_all, pa.scalar(None, pa.large_binary()), third).cast(pa.binary()),
-                 pa.array(n[some], pa.int64())], ["lang", "deal", "rest", "n"])
+        for lang, ids, numbers in _buffers(batches):
+            bucket = _pair_buckets(lang, ids, numbers, bits)
+            frequent = (bitmap[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1).astype(bool)
+            rows, n = _windows(numbers, frequent & (numbers[:-1] != 0) & (numbers[1:] != 0), len(ids))
+            names = pa.array([None, *ids.words()], pa.large_binary())
+            for low in range(0, len(n), 100_000):
+                words = [names.take(pa.array(r[low: low + 100_000])) for r in rows]
+                key = pc.binary_join_element_wise(*words, blank, null_handling="skip")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(key), np.int8))),
+                     key.cast(pa.binary()), pa.array(n[low: low + 100_000])], ["lang", "key", "n"])
 
-    def run(batches):
-        langs: dict[str, tuple[_Ids, list]] = {}
-        size = 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids, parts = langs.setdefault(lang, (_Ids(), []))
-                parts.append(_numbered(text.as_py(), ids))
-                size += len(parts[-1])
-                if size >= BUFFER:
-                    for lang, (ids, parts) in langs.items():
-                        yield from counts(lang, ids, parts)
-                    langs, size = {}, 0
-        for lang, (ids, parts) in langs.items():
-            yield from counts(lang, ids, parts)
+    found = _texts(docs).mapInArrow(run, "lang string, key binary, n long")
+    return found.groupBy("lang", F.col("key").cast("string").alias("key")).agg(F.sum("n").alias("n"))
 
-    return docs.filter("text is not null").select(
-        F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary")).mapInArrow(
-        run, schema).select("lang", F.col("deal").cast("string"), F.col("rest").cast("string"), "n")
 
+def _words(key: str) -> Column:
+    return F.length(key) - F.length(F.translate(key, " ", "")) + 1
 
-def marginalised(found: DataFrame, hot: list[str]) -> DataFrame:
+
+def marginalised(windows: DataFrame) -> DataFrame:
     """``lang, key, words, n``: counts of all prefixes of the windows that come often enough.
 
-    ``words`` is 0 in the row of a lang's total.
+    ``words`` is 0 in the row of a lang's total. ``windows`` is read twice.
     """
-    # Both sums below read this one exchange: they use the same columns and filter afterwards.
-    dealt = found.repartition(
-        int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lang", "deal")
-    key = F.concat_ws(" ", "deal", "rest")
-    # Taken as an aggregate, so that the filter stays above the exchange.
-    spaces = F.max(F.length(key) - F.length(F.translate(key, " ", "")))
-    longest = dealt.groupBy("lang", "deal", "rest").agg(
-        F.sum("n").alias("n"), spaces.alias("spaces")).filter(
-        (F.col("n") >= LEAST_COUNT) & (F.col("spaces") == LONGEST - 1)).select(
-        "lang", key.alias("key"), F.lit(LONGEST).alias("words"), "n")
-    pairs = dealt.groupBy("lang", "deal").agg(F.sum("n").alias("n"), F.count("rest").alias("_rest"))
-    first, pair = F.substring_index("deal", " ", 1), F.substring_index("deal", " ", 2)
-    # Only frequent words have pairs that are not whole yet. What else is rare is rare for good.
-    wanted = (F.col("_rest") >= 0) & (pair != first) & (
-        first.isin(hot) | (F.col("n") >= LEAST_COUNT))
-    shorter = pairs.select("lang", first.alias("first"), F.when(wanted, pair).alias("pair"), "n").rollup(
+    pair = F.when(_words("key") >= 2, F.substring_index("key", " ", 2))
+    shorter = windows.select("lang", F.substring_index("key", " ", 1).alias("first"), pair.alias("pair"), "n").rollup(
         "lang", "first", "pair").agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
+    # A window padded after its first word has no pair; its word is counted one level up.
     shorter = shorter.filter(
         ((F.col("level") == 0) & F.col("pair").isNotNull() & (F.col("n") >= LEAST_COUNT))
         | ((F.col("level") == 1) & (F.col("n") >= LEAST_COUNT)) | (F.col("level") == 3)).select(
         "lang", F.coalesce("pair", "first", F.lit("")).alias("key"),
         F.when(F.col("level") == 0, 2).when(F.col("level") == 1, 1).otherwise(0).alias("words"), "n")
+    longest = windows.filter((F.col("n") >= LEAST_COUNT) & (_words("key") == LONGEST)).select(
+        "lang", "key", F.lit(LONGEST).alias("words"), "n")
     return shorter.unionByName(longest)
 
 
@@ -242,34 +246,17 @@ def kept(phrases: DataFrame) -> DataFrame:
                         | (100 * F.col("_a") < INSIDE_PERCENT * F.col("a"))).drop("_lang", "_key", "_a")
 
 
-def _decoded(phrases: DataFrame, words: list[bytes]) -> DataFrame:
-    """The rows with ``phrase`` in place of ``key``."""
-    shared = phrases.sparkSession.sparkContext.broadcast({code(i): w for i, w in enumerate(words)})
-
-    @F.pandas_udf("string")
-    def plain(keys):
-        known = shared.value
-        return keys.map(lambda k: b" ".join(known.get(w, w) for w in k.encode().split(b" ")).decode())
-
-    return phrases.withColumn("phrase", plain("key")).drop("key")
-
-
 def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each lang's first ``top`` phrases."""
-    often = written(word_counts(docs.select("text")), "words")
-    total = often.agg(F.sum("n")).first()[0] or 0
-    # CODED words of _LONGEST_CODED bytes at most.
-    often = often.filter(F.length("word") <= _LONGEST_CODED).orderBy(F.desc("n"), "word").limit(CODED).toArrow()
-    words = often["word"].to_pylist()
-    coded = {w: code(i) for i, w in enumerate(words)}
-    hot = [w for w, n in zip(words, often["n"].to_pylist()) if HOT * n > total]
-    found = windows(docs, coded, hot)
-    counts = written(marginalised(found, [coded[w].decode() for w in hot]), "counts")
+    docs = docs.select("lang", "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, (size // _BYTES_A_BIT).bit_length()))
+    windows = written(window_counts(docs, frequent_pairs(docs, bits), bits), "windows")
+    counts = written(marginalised(windows), "counts")
     phrases = written(scored(counts), "phrases")
     totals = counts.filter("words = 0").select(F.col("lang").alias("_lang"), F.col("n").alias("_total"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = _decoded(kept(phrases), words).withColumn("rank", F.row_number().over(best)).filter(
-        F.col("rank") <= top)
+    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "key")
+    ranked = kept(phrases).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     return ranked.join(totals, F.col("lang") == F.col("_lang")).select(
-        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
+        "lang", F.col("rank").cast("long").alias("rank"), F.col("key").alias("phrase"), "a", "l", "r",
         F.col("_total").alias("n"), "score")

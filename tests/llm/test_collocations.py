@@ -63,20 +63,48 @@ def test_against_all_phrases(make, monkeypatch):
     want = brute(rows)
     assert found(docs) == want and {r[0] for r in want} == {"en", "de", "und"}
     assert found(docs, top=3) == brute(rows, 3)
-    # Neither codes nor the size of buffers decide anything.
-    monkeypatch.setattr(collocations, "CODED", 2)
+    # Neither the filter nor the size of buffers decides anything.
     monkeypatch.setattr(collocations, "BUFFER", 50)
-    assert found(docs) == want
+    for bits in (4, 17):
+        monkeypatch.setattr(collocations, "LEAST_BITS", bits)
+        monkeypatch.setattr(collocations, "MOST_BITS", bits)
+        assert found(docs) == want
 
 
 def test_windows_of_wide_and_narrow_numbers():
     rng = np.random.default_rng(1)
-    parts = [np.concatenate([rng.integers(0, 6, 50), [0, 0]]) for _ in range(4)]
-    narrow, wide = collocations._windows(parts, 5), collocations._windows(parts, 2**22)
-    assert sorted(zip(*narrow[0].tolist(), narrow[1].tolist())) == sorted(zip(*wide[0].tolist(), wide[1].tolist()))
-
-
-def test_codes_differ_and_hold_no_blank():
-    codes = [collocations.code(i) for i in range(30_000)]
-    assert len(set(codes)) == len(codes) and max(map(len, codes)) == 4
-    assert not any(set(c[1:]) & set(b" \t\n") for c in codes)
+    numbers = np.concatenate([np.append(rng.integers(0, 6, 50), [0, 0]) for _ in range(4)])
+    often = rng.random(len(numbers) - 1) < 0.7
+    often &= (numbers[:-1] != 0) & (numbers[1:] != 0)
+    want = Counter()
+    for i in range(len(numbers) - 2):
+        if numbers[i]:
+            second = numbers[i + 1] if often[i] else 0
+            want[numbers[i], second, numbers[i + 2] if second and often[i + 1] else 0] += 1
+    for known in (5, 2**22):
+        rows, n = collocations._windows(numbers, often, known)
+        assert {tuple(r): c for r, c in zip(rows.T.tolist(), n.tolist())} == want
+
+
+def test_no_frequent_pair_is_missed(make, monkeypatch):
+    monkeypatch.setattr(collocations, "BUFFER", 300)
+    rows = some_rows()
+    docs = make(rows, "lang string, text string").repartition(4)
+    counts = Counter()
+    for lang, text in rows:
+        ids = collocations._Ids()
+        numbers = collocations._numbered(text.encode(), ids)
+        names = [b"", *ids.words()]
+        for a, b in zip(numbers[:-1], numbers[1:]):
+            if a and b:
+                counts["und" if lang is None else lang, names[a], names[b]] += 1
+    for bits in (8, 18):
+        bitmap = collocations.frequent_pairs(docs, bits)
+        seen = Counter()
+        for (lang, a, b), n in counts.items():
+            ids = collocations._Ids()
+            numbers = np.array([ids[a], ids[b]])
+            bucket = int(collocations._pair_buckets(lang, ids, numbers, bits)[0])
+            seen[bucket] += n
+        assert [i for i, bit in enumerate(np.unpackbits(bitmap)) if bit] == sorted(
+            b for b, n in seen.items() if n >= collocations.LEAST_COUNT)
