@@ -1,6 +1,9 @@
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from codesift.operators import report
 from codesift.plans import mining, scanning
 from codesift.sources import code_files, samples, scan_reports, synthetic, tables
@@ -80,7 +83,7 @@ def names(df, root):
 def test_code_files_policies(spark, tmp_path):
     root = str(tmp_path)
     land(root, FILES)
-    everything = code_files.read_code_files(spark, root, extensions="")
+    everything = code_files.read_code_files(spark, root, extensions=())
     assert names(everything, root) == set(FILES)
     mined = names(code_files.read_code_files(spark, root, "mining"), root)
     assert mined == {"repo/src/__init__.py", "repo/src/a.py", "repo/venv/d.c",
@@ -94,9 +97,39 @@ def test_code_files_policies(spark, tmp_path):
     assert {r["path"] for r in by_uri} == {f"file://{root}/{n}" for n in mined}
     short = code_files.read_code_files(spark, f"file:{root}", "mining").collect()
     assert {r["path"] for r in short} == {f"file:{root}/{n}" for n in mined}
-    # Folders left to the tasks give the same files.
-    few = code_files.read_code_files(spark, root, "mining", folders="1")
-    assert names(few, root) == mined and few.rdd.getNumPartitions() == 2
+
+
+def test_listing_opens_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    land(root, FILES)
+    # To open a pipe without a writer would never end.
+    os.mkfifo(f"{root}/repo/src/pipe.py")
+    os.mkfifo(f"{root}/repo/src/other.txt")
+    listed = code_files.list_code_files(spark, root, "mining")
+    assert "repo/src/pipe.py" in names(listed, root)
+    some = listed.filter("length > 0 and not endswith(path, 'pipe.py')")
+    read = code_files.with_contents(some, root).collect()
+    assert read and all(r["length"] == len(r["content"]) > 0 for r in read)
+
+
+def test_large_folders_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    for i in range(3000):
+        path = tmp_path / ("big" if i % 3 else f"r{i % 30}") / f"f{i}.c"
+        path.parent.mkdir(exist_ok=True)
+        path.write_text("int a;" * (i % 5))
+    files = code_files.read_code_files(spark, str(tmp_path), "mining")
+    counts = [r[0] for r in files.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(counts) == 3000 and len(counts) >= 8 and max(counts) < 600
+    monkeypatch.setattr(code_files, "TASK_FILES", 100)
+    assert code_files.read_code_files(spark, str(tmp_path), "mining").rdd.getNumPartitions() >= 30
+
+
+def test_roots_that_are_not_there(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        code_files.read_code_files(spark, str(tmp_path / "no"))
+    with pytest.raises(ValueError):
+        code_files.read_code_files(spark, str(tmp_path), "nobody's")
+    assert code_files.read_code_files(spark, str(tmp_path)).count() == 0
 
 
 def test_mining_job(spark, tmp_path):
