@@ -7,7 +7,8 @@ Two forms of the same result:
 * ``with_findings`` keeps one row per document with the findings nested in an
   array. Nothing is exploded or regrouped, so nesting needs no shuffle either.
 
-Rules are expressions, not a joined table, so patterns compile once per task.
+Rules are expressions, not a joined table, so patterns compile once per task. Only a table of
+more rules than one pass takes is joined, by pieces of the texts that its rules need.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 
 from codesift import fixed_values as fixed
 from codesift.functions import text
-from codesift.operators.rules import Rule, rule_batches, rule_table
+from codesift.operators.rules import GRAM, RULES_PER_PASS, Rule, indexed_rules, rule_batches, rule_table
+from codesift.session import written
 
 FINDING_TYPE = (
     "array<struct<line:int,content:string,rule_id:int,type:string,severity:string,"
@@ -66,11 +68,32 @@ def numbered_lines(df: DataFrame, keys: list[str], code: str = "code") -> DataFr
     )
 
 
+def _indexed_hits(lines: DataFrame, keys: list[str], index: DataFrame) -> DataFrame:
+    """Hits of indexed rules: the pieces of a line meet those of the rules, and a pattern
+    runs only on lines that hold the text it needs."""
+    chars = F.split("content", "")
+    last = F.size(chars) - (GRAM - 1)
+    grams = F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(chars, i, GRAM), ""))
+    met = lines.filter(F.char_length("content") >= GRAM).withColumn(
+        "gram", F.explode(F.array_distinct(grams))).join(index, "gram")
+    holds = F.contains("content", "needed") & (F.col("regex").isNull() | F.expr("content rlike regex"))
+    return met.filter(holds).select(*keys, "line", "content", "rule_id")
+
+
 def hit_rows(df: DataFrame, keys: list[str], rules: DataFrame | list[Rule] | None = None,
              code: str = "code") -> DataFrame:
-    """One row per (line, rule) hit: keys, ``line``, raw ``content``, ``rule_id``."""
+    """One row per (line, rule) hit: keys, ``line``, raw ``content``, ``rule_id``.
+
+    A table of many rules is met by an index; the corpus is then read once for all rules that
+    need some text, whatever their number.
+    """
     lines = numbered_lines(df, keys, code)
     parts = []
+    if isinstance(rules, DataFrame) and rules.limit(RULES_PER_PASS + 1).count() > RULES_PER_PASS:
+        index = written(indexed_rules(rules), "rules")
+        parts.append(_indexed_hits(lines, keys, index.filter("gram is not null")))
+        without = index.filter("gram is null").select("rule_id")
+        rules = rules.join(without, "rule_id", "left_semi")
     for batch in rule_batches(rules):
         parts.append(
             lines.filter(may_hit(F.col("content"), batch)).select(

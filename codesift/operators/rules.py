@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,9 @@ RULE_SCHEMA = (
 # Rules evaluated per pass over a line; longer rule bases take several passes.
 RULES_PER_PASS = 500
 
+# Characters of a rule's needed text by which long rule bases are indexed.
+GRAM = 4
+
 # The same language in a form that reads a line once, by the id of the default rule. As
 # written, that rule takes time quadratic in the line. Whatever follows any keyword also
 # follows the first one, so it is enough to look behind the first keyword, without
@@ -98,3 +102,25 @@ def rule_batches(rules: DataFrame | list[Rule] | None) -> Iterator[list[Rule]]:
         stream = iter(rules)
     while batch := list(islice(stream, RULES_PER_PASS)):
         yield batch
+
+
+def indexed_rules(rules: DataFrame) -> DataFrame:
+    """``rule_id, gram, needed, regex`` of a rule table of any length, worked out in tasks.
+
+    ``gram`` is a piece of the text that every match holds; ``regex`` is null where that text
+    is the whole rule. Rules that need no text of ``GRAM`` characters have no gram.
+    """
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for rule_id, pattern in zip(batch["rule_id"], batch["pattern"]):
+                rule = Rule(int(rule_id), pattern, "")
+                needed = rule.guard if rule.guard and len(rule.guard) >= GRAM else None
+                regex = None if literal_text(pattern) is not None else java_pattern(pattern)
+                # The middle of a text is rarer than its ends, which tend to be signs.
+                at = (len(needed) - GRAM) // 2 if needed else 0
+                rows.append((rule.rule_id, needed[at: at + GRAM] if needed else None, needed, regex))
+            yield pd.DataFrame(rows, columns=["rule_id", "gram", "needed", "regex"])
+
+    return rules.select("rule_id", "pattern").mapInPandas(
+        run, "rule_id int, gram string, needed string, regex string")

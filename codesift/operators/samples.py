@@ -73,10 +73,6 @@ def dropped_duplicates(df: DataFrame, on: str = "code") -> DataFrame:
     ).withColumn("dropped", F.col("rows_in") - F.col("kept"))
 
 
-def class_of(df: DataFrame, vulnerable: int) -> DataFrame:
-    return df.filter(F.col("is_vulnerable") == vulnerable)
-
-
 def safe_rows_kept(safe: Column, total: Column) -> Column:
     """How many safe rows balancing keeps."""
     vulnerable = total - safe

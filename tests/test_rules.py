@@ -169,3 +169,27 @@ def test_nesting_keeps_files_without_findings(spark):
     nested = {r["file"]: [(f["line"], f["rule_id"]) for f in r["findings"]]
               for r in findings.nest_findings(files, rows, ["file"]).collect()}
     assert nested == {"a": [(1, 5), (2, 1)], "b": []}
+
+
+def test_many_rules_are_met_by_an_index(spark, monkeypatch):
+    import random
+
+    from codesift.operators import findings, rules
+
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randrange(2, 9))) for _ in range(60)]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 9))) for _ in range(200)] + ["", "abc", "x+y"]
+    docs = spark.createDataFrame(
+        [(i, "\n".join(lines[4 * i: 4 * i + 4])) for i in range(51)], "doc_id long, code string")
+    spelled = sorted(set(words[:30]))
+    patterns = spelled + [rf"\b{w}\b" for w in spelled] + [rf"{w[:4]}\w+" for w in spelled] + ["x\\+y", "[ab]+c"]
+    table = spark.createDataFrame(
+        [(i, p, f"t{i}") for i, p in enumerate(patterns, 1)], "rule_id int, pattern string, type string")
+    plain = sorted(findings.hit_rows(docs, ["doc_id"], table).collect())
+    assert len(plain) > 500
+    monkeypatch.setattr(findings, "RULES_PER_PASS", 10)
+    monkeypatch.setattr(rules, "RULES_PER_PASS", 10)
+    assert sorted(findings.hit_rows(docs, ["doc_id"], table).collect()) == plain
+    index = {r.rule_id: r for r in rules.indexed_rules(table).collect()}
+    assert all(r.gram is None or (len(r.gram) == rules.GRAM and r.gram in r.needed) for r in index.values())
+    assert any(r.gram is None for r in index.values()) and any(r.regex is None for r in index.values())
