@@ -23,7 +23,3 @@ def as_code(documents: DataFrame) -> DataFrame:
         "doc_id", F.concat("snippet", F.lit("\n"), "text").alias("code"), "snippet",
         "is_vulnerable", "cwe_id", "source", "language", "cve_id",
     )
-
-
-def code_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    return as_code(table(spark, folder, "documents"))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, FloatType
@@ -37,3 +42,26 @@ def with_embedding(df: DataFrame, code: str = "code",
     embed = predict_batch_udf(make_predict, return_type=ArrayType(FloatType()),
                               batch_size=batch_size)
     return df.withColumn("embedding", embed(code))
+
+
+def letter_encoder(letters: str, weights: DataFrame) -> Callable[[], Encoder]:
+    """An encoder without a model: how often each letter comes, times its weight.
+
+    ``weights`` has a row ``at, weight`` per letter. They travel as one file that Spark
+    sends to every worker and that each opens once, as the weights of a real encoder would.
+    """
+    sc = weights.sparkSession.sparkContext
+    name = f"weights-{uuid.uuid4().hex}.parquet"
+    local = os.path.join(tempfile.mkdtemp(prefix="codesift-weights-"), name)
+    pq.write_table(weights.orderBy("at").toArrow(), local)
+    sc.addFile(local)
+
+    def make() -> Encoder:
+        factors = pq.read_table(SparkFiles.get(name)).column("weight").to_numpy()
+
+        def encode(texts: list[str], max_tokens: int) -> np.ndarray:
+            return np.array([[t.count(c) for c in letters] for t in texts], np.float32) * factors
+
+        return encode
+
+    return make

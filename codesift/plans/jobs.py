@@ -109,8 +109,8 @@ def explain(spark: SparkSession, models: str, row_id: str = "row_id") -> Tables:
     """Attributions of the stored forest over the stored test rows."""
     forest, _ = evaluating.load_models(models)
     names = spark.read.parquet(f"{models}/names")
-    rows = explaining.attributions(forest, spark.read.parquet(f"{models}/test"), row_id)
-    return {"attributions": explaining.attribution_summary(rows, names),
+    test = spark.read.parquet(f"{models}/test")
+    return {"attributions": explaining.attribution_means(forest, test, row_id, names),
             "importances": explaining.importances(forest, names)}
 
 

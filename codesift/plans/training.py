@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
@@ -11,11 +13,9 @@ from pyspark.ml.classification import (
     LogisticRegressionModel,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codesift import fixed_values as fixed
@@ -23,13 +23,20 @@ from codesift.operators.metrics import best_setting
 from codesift.operators.ranking import (
     hash_key,
     learning_curve_steps,
+    sample_exactly,
     with_folds,
     with_test_flag,
 )
 from codesift.operators.samples import balanced
 from codesift.plans.features import fitted_features, prepared, with_class_weight
-from codesift.session import written
-
+from codesift.plans.trees import dense, forest_nodes, shares, sparse_rows, tree_groups
+from codesift.plans.trials import run_trials
+from codesift.session import new_path, written
+from codesift.sources.tables import small_table
+
+# Rows that a search over settings or sizes fits on, at most.
+FIT_ROWS = 20_000
+ROWS_PER_TASK = 2_500
 # The deepest tree MLlib builds stands for "no limit".
 DEEPEST_TREE = 30
 
@@ -75,38 +82,109 @@ def grid_settings(grid: dict[str, tuple] | None = None) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
-def grid_search(train: DataFrame, row_id: str, settings: list[dict] | None = None,
-                folds: int = fixed.FOLDS, parallelism: int = 4) -> tuple[Model, DataFrame]:
-    """Cross-validated accuracy per setting, and the best setting fitted on all rows.
+def bounded(train: DataFrame, row_id: str, max_rows: int) -> DataFrame:
+    """``train``, or exactly ``max_rows`` of its rows in hash order if it has more."""
+    return sample_exactly(train, row_id, lambda n, _: F.least(n, F.lit(max_rows)))
+
+
+def _in_few_parts(rows: DataFrame) -> DataFrame:
+    """The rows in parts of ``ROWS_PER_TASK``: a small fit is one task a step, and fits side
+    by side use the cores."""
+    parts = min(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+    return rows.repartition(max(1, parts))
+
+
+def _right_predictions(model, rows: DataFrame, wanted: list[tuple[int, int, int]]) -> DataFrame:
+    """``setting_id, right, n`` of ``rows``, for settings ``(id, trees, depth)`` of one forest.
 
-    Weighted and unweighted settings are two estimators, so each setting is its own
-    parameter map over fixed folds.
+    The first trees of a forest are a forest of that many, and a tree cut at a depth is one
+    grown with that limit. So one fitted forest stands for all of these settings.
+    """
+    depths = sorted({depth for _, _, depth in wanted})
+    sparse = sparse_rows(rows, F.col("row_id"), F.col("label").cast("double").alias("label"))
+    parts, done = [], 0
+    for trees in tree_groups(forest_nodes(model)):
+        features = trees.features()
+        shared = rows.sparkSession.sparkContext.broadcast(
+            (trees, features, np.searchsorted(features, trees.feature)))
+
+        def run(batches, shared=shared, done=done):
+            trees, features, columns = shared.value
+            for batch in batches:
+                found = shares(trees, dense(batch, features), columns, depths)
+                for setting, count, depth in wanted:
+                    votes = found[depths.index(depth)][:, : max(0, count - done)].sum(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(votes), setting, np.int32)), batch.column("row_id"),
+                         batch.column("label"), pa.array(votes / count)],
+                        ["setting_id", "row_id", "label", "share"])
+
+        parts.append(sparse.mapInArrow(run, "setting_id int, row_id string, label double, share double"))
+        done += len(trees.roots)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    if len(parts) > 1:
+        whole = whole.groupBy("setting_id", "row_id", "label").agg(F.sum("share").alias("share"))
+    right = (F.col("share") > 0.5).cast("double") == F.col("label")
+    return whole.groupBy("setting_id").agg(F.count_if(right).alias("right"), F.count("*").alias("n"))
+
+
+GRID_SCHEMA = "setting_id int, right long, n long, fold int"
+
+
+def grid_scores(train: DataFrame, row_id: str, settings: list[dict] | None = None,
+                folds: int = fixed.FOLDS, parallelism: int = 8, max_rows: int = FIT_ROWS,
+                folder: str | None = None) -> DataFrame:
+    """``setting_id, setting, score, folds, rows``: mean accuracy over the folds per setting.
+
+    Settings that differ in the number of trees and the depth alone are read off one
+    forest, the largest and deepest of them; class weights are those of the rows that a fit
+    sees. Fits run side by side over one written table of at most ``max_rows`` rows. With a
+    ``folder`` of an earlier call, fits that had finished there are not repeated.
     """
     spark = train.sparkSession
     settings = settings if settings is not None else grid_settings()
-    data = written(with_class_weight(with_folds(train, row_id, "label", folds)), "folds")
-    accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
-    scores: dict[int, float] = {}
-    for weight in {s.get("class_weight") for s in settings}:
-        numbered = [(i, s) for i, s in enumerate(settings) if s.get("class_weight") == weight]
-        base = forest(class_weight=weight)
-        maps = [
-            {p: forest(**s).getOrDefault(p.name)
-             for p in (base.numTrees, base.maxDepth, base.minInstancesPerNode)}
-            for _, s in numbered
-        ]
-        search = CrossValidator(estimator=base, estimatorParamMaps=maps, evaluator=accuracy,
-                                numFolds=folds, foldCol="fold", parallelism=parallelism)
-        # Only the scores are wanted here; the winner is fitted once below.
-        averages = search.fit(data).avgMetrics
-        scores.update({i: score for (i, _), score in zip(numbered, averages)})
-    table = spark.createDataFrame(
-        [(i, str(settings[i]), float(score)) for i, score in sorted(scores.items())],
-        "setting_id int, setting string, score double",
-    )
-    best = best_setting(table).first()
-    winner = next(s for s in settings if str(s) == best["setting"])
-    return forest(**winner).fit(data), table
+    folder = folder or new_path(spark, "trials")
+    data = written(_in_few_parts(written(with_folds(
+        bounded(train, row_id, max_rows).select(
+            F.col(row_id).cast("string").alias("row_id"), "label", "features"),
+        "row_id", "label", folds), "folds")), "folds")
+    families: dict[tuple, list[tuple[int, int, int]]] = {}
+    for at, setting in enumerate(settings):
+        deepest = setting["depth"] or DEEPEST_TREE
+        families.setdefault((setting["min_split"], setting["class_weight"]), []).append(
+            (at, setting["trees"], deepest))
+
+    def trial(family: tuple, fold: int):
+        def run() -> DataFrame:
+            wanted = families[family]
+            part = data.filter(F.col("fold") != fold)
+            estimator = forest(max(w[1] for w in wanted), max(w[2] for w in wanted), *family)
+            model = estimator.fit(with_class_weight(part) if family[1] else part)
+            held_out = data.filter(F.col("fold") == fold)
+            return _right_predictions(model, held_out, wanted).withColumn("fold", F.lit(fold))
+
+        return run
+
+    trials = {f"{'-'.join(map(str, family))}-{fold}": trial(family, fold)
+              for family in families for fold in range(folds)}
+    scores = run_trials(spark, folder, trials, GRID_SCHEMA, parallelism)
+    names = small_table(spark, [(i, str(s)) for i, s in enumerate(settings)], "setting_id int, setting string")
+    return scores.groupBy("setting_id").agg(
+        F.avg(F.col("right") / F.col("n")).alias("score"), F.count("*").alias("folds"),
+        F.sum("n").alias("rows")).join(F.broadcast(names), "setting_id").select(
+        "setting_id", "setting", "score", "folds", "rows")
+
+
+def grid_search(train: DataFrame, row_id: str, settings: list[dict] | None = None,
+                folds: int = fixed.FOLDS, parallelism: int = 8, max_rows: int = FIT_ROWS,
+                folder: str | None = None) -> tuple[Model, DataFrame]:
+    """The best setting fitted on all rows, and the scores of all settings."""
+    settings = settings if settings is not None else grid_settings()
+    table = written(grid_scores(train, row_id, settings, folds, parallelism, max_rows, folder), "grid")
+    winner = settings[best_setting(table).first()["setting_id"]]
+    return forest(**winner).fit(with_class_weight(train)), table
 
 
 class CalibratedSvm:
@@ -167,30 +245,42 @@ def calibrated_svm(train: DataFrame, row_id: str, folds: int = fixed.FOLDS,
     return CalibratedSvm(fitted_on(data), curve)
 
 
-def accuracy_share() -> Column:
-    """Share of right predictions, as an aggregate."""
-    return F.avg((F.col("label") == F.col("prediction")).cast("double"))
+CURVE_SCHEMA = "train_size long, fold int, train double, cv double"
 
 
 def learning_curve(df: DataFrame, row_id: str, estimator: Estimator, folds: int = fixed.FOLDS,
-                   fractions=fixed.LEARNING_CURVE_FRACTIONS) -> DataFrame:
+                   fractions=fixed.LEARNING_CURVE_FRACTIONS, parallelism: int = 8,
+                   max_rows: int = FIT_ROWS, folder: str | None = None) -> DataFrame:
     """Train and validation accuracy per size and fold: ``train_size, fold, train, cv``.
 
-    ``df`` has ``label`` and ``features``. Each size takes the first rows of every
-    fold's training set in hash order; only the cutoff keys come to the driver.
-    An estimator with a weight column gets balanced weights of each training set.
+    ``df`` has ``label`` and ``features``; of more than ``max_rows`` rows, that many in hash
+    order take part. Each size takes the first rows of every fold's training set in hash
+    order; only the cutoff keys come to the driver. Fits run side by side; with the
+    ``folder`` of an earlier call, those that had finished there are not repeated. An
+    estimator with a weight column gets balanced weights of each training set.
     """
+    spark = df.sparkSession
     weighted = estimator.isDefined("weightCol")
-    folded = written(
-        with_folds(df.select(row_id, "label", "features"), row_id, "label", folds), "folds")
-    key = hash_key(F.col(row_id))
-    rows = []
-    for step in learning_curve_steps(folded, row_id, folds, fractions).collect():
-        held_out = folded.filter(F.col("fold") == step["test_fold"])
-        part = folded.filter((F.col("fold") != step["test_fold"]) & (key <= step["cutoff"]))
-        model = estimator.fit(with_class_weight(part) if weighted else part)
-        train_score = model.transform(part).agg(accuracy_share()).first()[0]
-        cv_score = model.transform(held_out).agg(accuracy_share()).first()[0]
-        rows.append((step["train_size"], step["test_fold"], float(train_score), float(cv_score)))
-    return df.sparkSession.createDataFrame(
-        rows, "train_size long, fold int, train double, cv double")
+    folder = folder or new_path(spark, "trials")
+    rows = bounded(df.select(row_id, "label", "features"), row_id, max_rows)
+    folded = written(with_folds(rows, row_id, "label", folds).withColumn("key", hash_key(F.col(row_id))), "folds")
+    folded = written(_in_few_parts(folded), "folds")
+
+    def trial(step):
+        def run() -> DataFrame:
+            held_out = F.col("fold") == step["test_fold"]
+            part = ~held_out & (F.col("key") <= step["cutoff"])
+            fit = folded.filter(part)
+            model = estimator.copy().fit(with_class_weight(fit) if weighted else fit)
+            right = (F.col("label") == F.col("prediction")).cast("double")
+            scored = model.transform(folded.filter(part | held_out))
+            return scored.agg(F.avg(F.when(~held_out, right)).alias("train"),
+                              F.avg(F.when(held_out, right)).alias("cv")).select(
+                F.lit(step["train_size"]).cast("long").alias("train_size"),
+                F.lit(step["test_fold"]).alias("fold"), "train", "cv")
+
+        return run
+
+    steps = learning_curve_steps(folded, row_id, folds, fractions).collect()  # a row per fit
+    trials = {f"{s['test_fold']}-{s['step']}": trial(s) for s in steps}
+    return run_trials(spark, folder, trials, CURVE_SCHEMA, parallelism)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from codesift.plans import corpus as corpus_plan
 from codesift.plans.training import forest, split_features
 from codesift.session import new_path
-from codesift.sources.code_files import write_code_files
+from codesift.sources.code_files import filesystem_of, write_code_files
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,19 +67,42 @@ def file_path():
     return F.concat_ws("/", "source", folder, name)
 
 
+# Every so many documents, a file is a link that leads nowhere where some must be unreadable.
+BROKEN = 7
+
+
+def _break(root: str, paths: DataFrame) -> None:
+    """Links that lead nowhere in place of files, made by tasks; local folders only."""
+    _, base = filesystem_of(root)
+
+    def link(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                target = os.path.join(base, path)
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                if not os.path.islink(target):
+                    os.symlink("nowhere", target)
+            yield batch
+
+    paths.select("path").mapInArrow(link, "path string").count()
+
+
 @lru_cache(maxsize=4)
-def _landed(app: str, folder: str) -> str:
+def _landed(app: str, folder: str, broken: bool) -> str:
     spark = SparkSession.active()
     root = new_path(spark, "files")
     rows = corpus(spark, folder).select(
-        file_path().alias("path"), F.encode("code", "UTF-8").alias("content"))
-    write_code_files(rows, root)
+        "doc_id", file_path().alias("path"), F.encode("code", "UTF-8").alias("content"))
+    lost = F.lit(broken) & (F.col("doc_id") % BROKEN == 0)
+    write_code_files(rows.filter(~lost), root)
+    if broken:
+        _break(root, rows.filter(lost))
     return root
 
 
-def landed_files(spark: SparkSession, folder: str) -> str:
-    """The corpus as one file per document; landed once per session."""
-    return _landed(spark.sparkContext.applicationId, folder)
+def landed_files(spark: SparkSession, folder: str, broken: bool = False) -> str:
+    """The corpus as one file per document, some of them broken; landed once per session."""
+    return _landed(spark.sparkContext.applicationId, folder, broken)
 
 
 @lru_cache(maxsize=4)

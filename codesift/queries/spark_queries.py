@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,8 @@ from codesift.functions.structure import with_structure
 from codesift.operators import distributions, drift, metrics, ranking, report, samples, tfidf
 from codesift.operators import findings as scan
 from codesift.operators.rules import rule_table
-from codesift.plans import evaluating, explaining, features, mining, scanning, training
+from codesift.plans import evaluating, explaining, features, mining, scanning
+from codesift.queries import model_checks
 from codesift.queries.derived import (
     corpus,
     documents,
@@ -25,8 +25,8 @@ from codesift.queries.derived import (
     table,
     trained,
 )
-from codesift.session import new_path
-from codesift.sources import scan_reports
+from codesift.session import new_path, written
+from codesift.sources import code_files, scan_reports, synthetic
 from codesift.sources import samples as sample_files
 from codesift.sources.tables import known_weaknesses
 from codesift.streaming import jobs
@@ -95,6 +95,20 @@ def user_rule_findings(spark, folder):
         "doc_id", "line", "rule_id", "type")
 
 
+@query
+def derived_rule_findings(spark, folder):
+    """Thousands of rules, one for each longer word of the benchmark, over all documents."""
+    words = F.explode(F.expr(r"regexp_extract_all(text, '([\\p{L}\\p{N}_]+)', 1)"))
+    named = table(spark, folder, "benchmark").select(words.alias("word")).filter(
+        F.char_length("word") >= 6).distinct()
+    rules = written(ranking.with_rank(named, "word", name="place").select(
+        F.col("place").cast("int").alias("rule_id"), F.concat(F.lit(r"\b"), "word", F.lit(r"\b")).alias("pattern"),
+        F.col("word").alias("type")), "rules")
+    files = documents(spark, folder).select("doc_id", F.col("text").alias("code"))
+    return scan.finding_rows(files, ["doc_id"], rules).groupBy("type").agg(
+        F.count("*").alias("findings"), F.count_distinct("doc_id").alias("files"))
+
+
 @query
 def prose_rule_findings(spark, folder):
     """Rules over whole web pages and chats, which are not code."""
@@ -369,8 +383,8 @@ def dropped_duplicates(spark, folder):
 
 @query
 def synthetic_samples(spark, folder):
-    return corpus(spark, folder).select("doc_id", F.col("snippet").alias("code"), "is_vulnerable",
-                                        "cwe_id")
+    """A synthetic sample for each document, every second one vulnerable."""
+    return synthetic.drawn(documents(spark, folder).select("doc_id"), "doc_id", F.col("doc_id") % 2 == 0)
 
 
 @query
@@ -404,13 +418,35 @@ def path_policies(spark, folder):
     paths = documents(spark, folder).withColumn("language", F.lit(".py")).select(
         "doc_id", file_path().alias("path"))
     parts = F.split("path", "/")
-    folders = F.slice(parts, 1, F.size(parts) - 1)
-    mined = ~F.exists(folders, lambda d: d.startswith(".") | F.lower(d).contains("test"))
-    skipped = F.array(*[F.lit(d) for d in fixed.SCAN_SKIPPED_DIRECTORIES])
-    named = "|".join(re.escape(p) for p in fixed.SCAN_SKIPPED_PATH_PARTS)
-    scanned = ~F.arrays_overlap(folders, skipped) & ~F.col("path").rlike(named)
-    return paths.select("doc_id", mined.cast("int").alias("mined"),
-                        scanned.cast("int").alias("scanned"))
+    # Below the repository's own folder, which the mining policy always enters.
+    folders = F.slice(parts, 2, F.size(parts) - 2)
+
+    def policy(name: str):
+        inside = F.forall(folders, lambda d: code_files.enters(name, d))
+        return (inside & code_files.takes(name, F.col("path"))).cast("int").alias(
+            {"mining": "mined", "scanning": "scanned"}[name])
+
+    return paths.select("doc_id", policy("mining"), policy("scanning"))
+
+
+@query
+def unopened_files(spark, folder):
+    """Files a listing leaves after the caller's own filters, which alone are read."""
+    root = landed_files(spark, folder)
+    listed = code_files.list_code_files(spark, root, "mining", (".py", ".c", ".java"))
+    some = listed.filter(F.col("length").between(100, 4000) & ~F.col("path").contains("/lib/"))
+    below = F.substring("path", len(root) + 2, 1 << 30)
+    return code_files.with_contents(some, root).select(
+        below.alias("file"), "length", F.md5("content").alias("digest"))
+
+
+@query
+def unreadable_files(spark, folder):
+    """A scan over files of which some cannot be read: the others get their rows."""
+    root = landed_files(spark, folder, broken=True)
+    target = scanning.scan_target(spark, root)
+    below = F.substring("file", len(root) + 2, 1 << 30)
+    return target.select(below.alias("file"), F.coalesce("error", F.lit("none")).alias("error"))
 
 
 @query
@@ -431,6 +467,30 @@ def scan_report(spark, folder):
         F.col("details.ast_depth").cast("long").alias("ast_depth"))
 
 
+@query
+def stored_reports(spark, folder):
+    """Reports of a few hundred results, as single files of both forms, read again."""
+    path = new_path(spark, "reports")
+    rows = results(spark, folder)
+    blocks = rows.count() // 500 + 1
+    sorted_by = rows.withColumn("form", F.char_length("file") % 2).withColumn(
+        "block", F.crc32("file") % blocks)
+    named = F.struct("file", "status", "confidence", "details", "timestamp")
+    listed = F.struct("file", "status", "confidence", "timestamp")
+    vulnerable = F.count_if(F.col("status") == "VULNERABLE")
+    whole = F.to_json(F.struct(
+        F.max("timestamp").alias("timestamp"), F.count("*").alias("total_files"),
+        vulnerable.alias("vulnerable_files"), F.lit("0").alias("scan_duration"),
+        F.collect_list(named).alias("results")))
+    reports = sorted_by.groupBy("form", "block").agg(
+        F.when(F.col("form") == 0, whole).otherwise(F.to_json(F.collect_list(listed))).alias("value"))
+    reports.repartition("form", "block").write.partitionBy("form", "block").text(path)
+    calls = F.col("details.dangerous_calls")
+    return scan_reports.read_report(spark, path).select(
+        "file", "status", _round("confidence"),
+        F.when(calls.isNotNull(), F.size(calls)).cast("long").alias("calls"))
+
+
 # --- Distributions and reports -----------------------------------------------
 
 @query
@@ -668,16 +728,13 @@ def value_drift_exact(spark, folder):
 @query
 def forest_grid(spark, folder):
     """All settings of the grid, cross-validated on five folds."""
-    train, _, _, _, _ = trained(spark, folder)
-    _, grid = training.grid_search(train, "doc_id")
-    return grid
+    return model_checks.grid(spark, folder)
 
 
 @query
 def svm_scores(spark, folder):
-    train, test, _, _, _ = trained(spark, folder)
-    model = training.calibrated_svm(train, "doc_id")
-    return model.transform(test).select("doc_id", "label", "prediction", "score")
+    _, test, _, _, _ = trained(spark, folder)
+    return model_checks.svm(spark, folder).transform(test).select("doc_id", "label", "prediction", "score")
 
 
 @query
@@ -696,9 +753,9 @@ def forest_scores(spark, folder):
 
 @query
 def model_evaluation(spark, folder):
-    train, test, _, _, model = trained(spark, folder)
-    svm = training.calibrated_svm(train, "doc_id")
-    scored = evaluating.scored_test_set({"forest": model, "svm": svm}, test, "doc_id")
+    _, test, _, _, model = trained(spark, folder)
+    both = {"forest": model, "svm": model_checks.svm(spark, folder)}
+    scored = evaluating.scored_test_set(both, test, "doc_id")
     tables = evaluating.evaluation(scored)
     return tables["report"].join(tables["auc"], "model")
 
@@ -706,9 +763,7 @@ def model_evaluation(spark, folder):
 @query
 def model_learning_curve(spark, folder):
     """Accuracy at all sizes over all folds of all rows."""
-    train, test, _, _, _ = trained(spark, folder)
-    curve = training.learning_curve(train.unionByName(test), "doc_id", training.forest())
-    return metrics.fold_summary(curve, "train_size", ["train", "cv"])
+    return metrics.fold_summary(model_checks.curve(spark, folder), "train_size", ["train", "cv"])
 
 
 @query
@@ -732,8 +787,7 @@ def upload_answers(spark, folder):
 def tree_attributions(spark, folder):
     """Mean absolute attribution per feature over the test rows."""
     _, test, _, names, model = trained(spark, folder)
-    rows = explaining.attributions(model, test, "doc_id")
-    return explaining.attribution_summary(rows, features.feature_names(names, test))
+    return explaining.attribution_means(model, test, "doc_id", features.feature_names(names, test))
 
 
 @query
@@ -816,3 +870,6 @@ def streamed_drift(spark, folder):
     rows = spark.read.parquet(path)
     return rows.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), _round("d"),
                        *_long("n_base", "n_new"), _round("p_value"))
+
+
+QUERIES.update(model_checks.QUERIES)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from codesift import fixed_values as fixed
 from codesift.functions.patterns import re2_pattern
 from codesift.functions.text import SPACE_CLASS, WORD_CLASS
+from codesift.queries.model_checks import twins
 from codesift.sources.tables import snippet_rows
 
 
@@ -254,6 +255,13 @@ TWINS: dict[str, str] = {
     "user_rule_findings":
         f"WITH {SCAN} SELECT h.doc_id, h.line, h.rule_id, r.type FROM hits h "
         "JOIN rules r ON h.rule_id = r.rule_id WHERE r.severity = 'High'",
+    "derived_rule_findings":
+        f"WITH words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[{WORD_CLASS}]+')) AS word FROM benchmark), "
+        "lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS content, "
+        "generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents), "
+        f"tokens AS (SELECT DISTINCT doc_id, line, unnest(regexp_extract_all(content, '[{WORD_CLASS}]+')) AS word "
+        "FROM lines) SELECT word AS type, count(*) AS findings, count(DISTINCT doc_id) AS files "
+        "FROM tokens JOIN words USING (word) WHERE length(word) >= 6 GROUP BY 1",
     "prose_rule_findings":
         "WITH prose AS (SELECT 'page ' || page_id AS item, html AS code FROM pages UNION ALL "
         "SELECT 'turn ' || conv_id || '/' || turn, text FROM conversations), "
@@ -341,7 +349,15 @@ TWINS: dict[str, str] = {
         f"WITH {_MERGED} SELECT count(*) AS rows_in, count(DISTINCT code) AS kept, "
         "count(*) - count(DISTINCT code) AS dropped FROM merged",
     "synthetic_samples":
-        f"WITH {CORPUS} SELECT doc_id, snippet AS code, is_vulnerable, cwe_id FROM corpus",
+        f"WITH {SNIPPETS}, numbers AS (SELECT doc_id, CAST('0x' || substr(md5('{fixed.SEED}:' || doc_id), 1, 8) "
+        "AS BIGINT) AS n FROM documents) SELECT doc_id, snippet AS code, "
+        "CAST(is_vulnerable AS INTEGER) AS is_vulnerable, cwe_id FROM numbers JOIN snippets ON snippet_id = "
+        f"CASE WHEN doc_id % 2 = 0 THEN n % {len(fixed.VULNERABLE_SNIPPETS)} "
+        f"ELSE {len(fixed.VULNERABLE_SNIPPETS)} + n % {len(fixed.SAFE_SNIPPETS)} END",
+    "stored_reports":
+        f"WITH {RESULTS} SELECT file, status, round(confidence, 6) AS confidence, "
+        "CASE WHEN length(file) % 2 = 0 THEN count(h.rule_id) END AS calls "
+        "FROM results s LEFT JOIN hits h ON s.doc_id = h.doc_id GROUP BY file, status, confidence",
     "mined_files":
         f"WITH {WEAK} SELECT source, language, cwe_id, count(*) AS files, "
         "CAST(sum(is_vulnerable) AS BIGINT) AS vulnerable, CAST(sum(length(code)) AS BIGINT) AS chars "
@@ -350,6 +366,15 @@ TWINS: dict[str, str] = {
     "scan_target_files":
         f"WITH {CORPUS} SELECT source || '/' || {_FOLDER} || '/_doc_' || doc_id || language AS file, "
         f"md5(code) AS digest FROM corpus WHERE {_FOLDER} NOT IN ('node_modules', 'test_cases')",
+    "unopened_files":
+        f"WITH {CORPUS} SELECT source || '/' || {_FOLDER} || '/_doc_' || doc_id || language AS file, "
+        "CAST(strlen(code) AS BIGINT) AS length, md5(code) AS digest FROM corpus "
+        f"WHERE {_FOLDER} NOT IN ('my_tests', '.hidden', 'test_cases', 'lib') "
+        "AND language IN ('.py', '.c', '.java') AND strlen(code) BETWEEN 100 AND 4000",
+    "unreadable_files":
+        f"WITH {CORPUS} SELECT source || '/' || {_FOLDER} || '/_doc_' || doc_id || language AS file, "
+        "CASE WHEN doc_id % 7 = 0 THEN 'unreadable' ELSE 'none' END AS error "
+        f"FROM corpus WHERE {_FOLDER} NOT IN ('node_modules', 'test_cases')",
     "path_policies":
         f"SELECT doc_id, CASE WHEN {_FOLDER} IN ('my_tests', '.hidden', 'test_cases') THEN 0 ELSE 1 END AS mined, "
         f"CASE WHEN {_FOLDER} IN ('node_modules', 'test_cases') THEN 0 ELSE 1 END AS scanned FROM documents",
@@ -484,3 +509,4 @@ TWINS: dict[str, str] = {
         "(SELECT max(ts) FROM events) - INTERVAL 1 HOUR), "
         f"{_ks('early', 'late', 'day')} SELECT day, d, n_base, n_new, round(p, 6) AS p_value FROM ks",
 }
+TWINS.update(twins(CORPUS, SCAN, KEY))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from codesift import fixed_values as fixed
 
 SAMPLE_SCHEMA = "code string, is_vulnerable int, cwe_id string"
-MINED_SCHEMA = SAMPLE_SCHEMA + ", source string, language string"
 KNOWLEDGE_BASE_SCHEMA = (
     "cve_id string, description string, language string, code string, is_vulnerable int"
 )
