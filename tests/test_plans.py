@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from codesift.functions.text import tokens
 from codesift.operators import tfidf
-from codesift.plans import embedding, evaluating, explaining, features, scanning, training
+from codesift.plans import embedding, evaluating, explaining, features, scanning, training, trees
 from codesift.session import new_path
 from codesift.sources.synthetic import with_snippet
 from codesift.streaming import jobs
@@ -99,19 +99,54 @@ def test_rule_feature_can_be_left_out(samples):
     assert names[-2:] == ["complexity", "ast_depth"]
 
 
-def test_grid_settings():
+def test_grid_settings(spark):
     settings = training.grid_settings()
     assert len(settings) == 36 and settings[0] == {
         "trees": 100, "depth": None, "min_split": 2, "class_weight": "balanced"}
     assert training.forest(**settings[0]).getMaxDepth() == 30
 
 
-def test_grid_search(fitted):
-    settings = [{"trees": 3, "depth": 3, "min_split": 2, "class_weight": "balanced"},
-                {"trees": 3, "depth": 3, "min_split": 5, "class_weight": None}]
-    model, table = training.grid_search(fitted[0], "id", settings, folds=2)
-    assert model.getNumTrees == 3 and table.count() == 2
-    assert all(0 <= r["score"] <= 1 for r in table.collect())
+def test_grid_search(spark, fitted):
+    settings = [{"trees": t, "depth": d, "min_split": 2, "class_weight": w}
+                for w in ("balanced", None) for t, d in ((3, 3), (6, None), (6, 2))]
+    folder = new_path(spark, "grid")
+    model, table = training.grid_search(fitted[0], "id", settings, folds=2, folder=folder)
+    rows = {r["setting_id"]: r for r in table.collect()}
+    assert set(rows) == set(range(6))
+    for i, r in rows.items():
+        assert r["setting"] == str(settings[i]) and 0.5 < r["score"] <= 1
+        assert (r["folds"], r["rows"]) == (2, 192)
+    assert model.getNumTrees in (3, 6)
+
+
+def test_finished_trials_are_not_repeated(spark, fitted, monkeypatch):
+    folder = new_path(spark, "grid")
+    settings = [{"trees": 2, "depth": 2, "min_split": 2, "class_weight": None}]
+    first = training.grid_scores(fitted[0], "id", settings, folds=2, folder=folder).collect()
+    monkeypatch.setattr(training, "forest", lambda *_: pytest.fail("fitted again"))
+    assert training.grid_scores(fitted[0], "id", settings, folds=2, folder=folder).collect() == first
+
+
+def test_settings_are_read_off_one_forest(spark, fitted, monkeypatch):
+    train, test, _, _, model = fitted
+    rows = test.withColumn("row_id", F.col("id").cast("string"))
+    right = model.transform(test).filter("prediction = label").count()
+    wanted = [(0, 12, 30), (1, 12, 6), (2, 1, 30), (3, 12, 0)]
+    for limit in (1_000_000, 40):
+        monkeypatch.setattr(trees, "NODES_PER_GROUP", limit)
+        found = {r["setting_id"]: r for r in training._right_predictions(model, rows, wanted).collect()}
+        assert found[0]["right"] == found[1]["right"] == right and found[0]["n"] == 48
+        first = model.trees[0].transform(test).filter("prediction = label").count()
+        assert found[2]["right"] == first
+        # Cut at the root, a forest says the same of every row.
+        positive = test.filter("label = 1").count()
+        assert found[3]["right"] in (positive, 48 - positive)
+
+
+def test_fits_are_bounded(fitted):
+    scores = training.grid_scores(
+        fitted[0], "id", [{"trees": 2, "depth": 2, "min_split": 2, "class_weight": None}], folds=2, max_rows=50)
+    assert scores.first()["rows"] == 50
 
 
 def test_svm_probabilities(spark, fitted):
@@ -125,10 +160,13 @@ def test_svm_probabilities(spark, fitted):
     assert mean[1.0] > mean[0.0]
 
 
-def test_learning_curve(fitted):
+def test_learning_curve(spark, fitted):
+    folder = new_path(spark, "curve")
     curve = training.learning_curve(fitted[0], "id", training.forest(trees=2, depth=2), folds=2,
-                                    fractions=(0.5, 1.0)).collect()
+                                    fractions=(0.5, 1.0), folder=folder).collect()
     assert len(curve) == 4 and {r["fold"] for r in curve} == {0, 1}
+    assert {r["train_size"] for r in curve} == {48, 96}
+    assert all(0 <= r["cv"] <= 1 and 0.5 < r["train"] <= 1 for r in curve)
 
 
 def test_attributions_add_up(spark, fitted, monkeypatch):
@@ -139,36 +177,69 @@ def test_attributions_add_up(spark, fitted, monkeypatch):
               rows.groupBy("id").agg(F.sum("phi").alias("s")).collect()}
     predicted = {r["id"]: r["p"] for r in model.transform(test).select(
         "id", vector_to_array("probability")[1].alias("p")).collect()}
-    assert totals == pytest.approx(predicted, abs=1e-9)
-    monkeypatch.setattr(explaining, "NODES_PER_GROUP", 30)
+    assert totals == pytest.approx(predicted, abs=1e-12)
+    assert {r["id"]: r["phi"] + base for r in explaining.attribution_sums(model, test, "id").collect()
+            } == pytest.approx(predicted, abs=1e-12)
+    named = features.feature_names(names, test)
+    means = {r["feature"]: r["mean_abs_phi"] for r in
+             explaining.attribution_means(model, test, "id", named).collect()}
+    assert set(means) <= set(names) and means == pytest.approx(
+        {r["feature"]: r["mean_abs_phi"] for r in explaining.attribution_summary(rows, named).collect()})
+    monkeypatch.setattr(trees, "NODES_PER_GROUP", 30)
     grouped = {(r["id"], r["index"]): r["phi"] for r in
                explaining.attributions(model, test, "id").collect()}
-    whole = {(r["id"], r["index"]): r["phi"] for r in rows.collect()}
+    whole = {(r["id"], r["index"]): r["phi"] for r in rows.collect() if (r["id"], r["index"]) in grouped}
     assert grouped == pytest.approx(whole, abs=1e-12)
-    named = explaining.attribution_summary(rows, features.feature_names(names, test)).collect()
-    assert {r["feature"] for r in named} <= set(names)
+    assert means == pytest.approx({
+        r["feature"]: r["mean_abs_phi"] for r in explaining.attribution_means(model, test, "id", named).collect()})
 
 
-def test_leaf_attributions_are_shapley_values():
+def random_tree(rng, depth):
+    """Nodes of a grown tree: (feature, threshold, left, right, cover, value), leaves without children."""
+    nodes = []
+
+    def grow(cover, left_depth):
+        at = len(nodes)
+        nodes.append(None)
+        if left_depth == 0 or cover < 2 or rng.random() < 0.15:
+            nodes[at] = (0, 0.0, -1, -1, cover, rng.random())
+        else:
+            share = rng.uniform(0.1, 0.9)
+            left, right = grow(cover * share, left_depth - 1), grow(cover * (1 - share), left_depth - 1)
+            nodes[at] = (rng.randrange(4), rng.choice([0.2, 0.5, 0.7]), left, right, cover, 0.0)
+        return at
+
+    grow(1000.0, depth)
+    f, t, left, right, cover, value = map(np.array, zip(*nodes))
+    return trees.Trees(np.array([0]), left, right, f, t, cover, value)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_attributions_are_shapley_values(seed):
+    import random
     from itertools import combinations
     from math import factorial
 
-    box = {0: [-np.inf, 0.5, 0.6], 1: [0.2, np.inf, 0.3], 4: [-1.0, 1.0, 0.5]}
-    x = {0: np.array([0.1, 0.9]), 1: np.array([0.9, 0.1]), 4: np.array([0.0, 0.0])}
-    got = explaining.leaf_attributions(2.0, box, x, 2)
-    for row in range(2):
-        def worth(known):
-            value = 2.0
-            for f, (low, high, share) in box.items():
-                value *= float(low < x[f][row] <= high) if f in known else share
-            return value
-
-        for f in box:
-            others = [g for g in box if g != f]
+    tree = random_tree(random.Random(seed), 2 + seed)
+    x = np.random.default_rng(seed).random((5, 4))
+    phi = np.zeros((5, 4))
+    explaining.add_attributions(tree, tree.feature, x, phi)
+
+    def worth(row, known, node=0):
+        if tree.left[node] < 0:
+            return tree.value[node]
+        f, children = tree.feature[node], (tree.left[node], tree.right[node])
+        if f in known:
+            return worth(row, known, children[int(row[f] > tree.threshold[node])])
+        return sum(worth(row, known, c) * tree.cover[c] / tree.cover[node] for c in children)
+
+    for r in range(5):
+        for f in range(4):
+            others = [g for g in range(4) if g != f]
             want = sum(
-                factorial(k) * factorial(2 - k) / 6 * (worth({*s, f}) - worth(set(s)))
-                for k in range(3) for s in combinations(others, k))
-            assert got[f][row] == pytest.approx(want)
+                factorial(k) * factorial(3 - k) / 24 * (worth(x[r], {*s, f}) - worth(x[r], set(s)))
+                for k in range(4) for s in combinations(others, k))
+            assert phi[r, f] == pytest.approx(want, abs=1e-12)
 
 
 class AlwaysSafe(Transformer):
