@@ -21,6 +21,9 @@ from codesift.queries.derived import corpus, documents, judged, trained
 from codesift.session import new_path, written
 
 QUERIES = {}
+# Labelled rows that the searches over settings and sizes fit on in these queries, at most;
+# grid, folds and sizes are whole. Their scans and tests are over all rows.
+SEARCH_ROWS = 400
 
 
 def query(function):
@@ -39,7 +42,7 @@ def _share(name: str):
 @lru_cache(maxsize=4)
 def _grid(app: str, folder: str) -> DataFrame:
     train, *_ = trained(SparkSession.active(), folder)
-    return written(training.grid_scores(train, "doc_id"), "grid")
+    return written(training.grid_scores(train, "doc_id", max_rows=SEARCH_ROWS), "grid")
 
 
 def grid(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,8 +53,9 @@ def grid(spark: SparkSession, folder: str) -> DataFrame:
 @lru_cache(maxsize=4)
 def _curve(app: str, folder: str) -> DataFrame:
     train, test, *_ = trained(SparkSession.active(), folder)
+    rows = train.unionByName(test)
     return written(
-        training.learning_curve(train.unionByName(test), "doc_id", training.forest()), "curve")
+        training.learning_curve(rows, "doc_id", training.forest(), max_rows=SEARCH_ROWS), "curve")
 
 
 def curve(spark: SparkSession, folder: str) -> DataFrame:
@@ -254,11 +258,11 @@ def twins(corpus_sql: str, scan_sql: str, key: str) -> dict[str, str]:
     return {
         "grid_settings_scored":
             f"WITH {split} SELECT CAST(i AS INTEGER) AS setting_id, setting, CAST({fixed.FOLDS} AS BIGINT) "
-            f"AS folds, least((SELECT count(*) FROM split WHERE NOT is_test), {training.FIT_ROWS}) AS rows, "
+            f"AS folds, least((SELECT count(*) FROM split WHERE NOT is_test), {SEARCH_ROWS}) AS rows, "
             f"TRUE AS in_bounds FROM (VALUES {settings}) g(i, setting)",
         "best_grid_setting": "SELECT CAST(0 AS BIGINT) AS better, CAST(1 AS BIGINT) AS winners",
         "learning_curve_cells":
-            f"WITH {split}, few AS (SELECT doc_id, label FROM split ORDER BY {key} LIMIT {training.FIT_ROWS}), "
+            f"WITH {split}, few AS (SELECT doc_id, label FROM split ORDER BY {key} LIMIT {SEARCH_ROWS}), "
             f"folded AS (SELECT (row_number() OVER (PARTITION BY label ORDER BY {key}) - 1) % {fixed.FOLDS} "
             "AS fold FROM few), per AS (SELECT fold, count(*) AS n FROM folded GROUP BY 1), "
             "least_rows AS (SELECT sum(n) - max(n) AS n FROM per) "
