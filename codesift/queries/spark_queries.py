@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesift import fixed_values as fixed
 from codesift.functions import text
 from codesift.functions.structure import with_structure
 from codesift.operators import distributions, drift, metrics, ranking, report, samples, tfidf
