@@ -40,6 +40,8 @@ LEAST_COUNT = 10
 INSIDE_PERCENT = 50
 SCALE = 1_000_000
 TOP = 2000
+# Parts in which the phrases of a lang are ordered before its first ones are.
+PARTS = 64
 # Words counted in a task before the counts go out.
 BUFFER = 2_000_000
 # Bits of a bucket's number in the filter: 8 kB for the least, 64 MB for the most.
@@ -255,8 +257,15 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     counts = written(marginalised(windows), "counts")
     phrases = written(scored(counts), "phrases")
     totals = counts.filter("words = 0").select(F.col("lang").alias("_lang"), F.col("n").alias("_total"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "key")
-    ranked = kept(phrases).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "key"]
+
+    def first_rows(rows: DataFrame, *by: str) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(
+            F.col("rank") <= top)
+
+    # The first of each part of a lang go on, so that no task orders all phrases of one.
+    parts = kept(phrases).withColumn("_part", F.pmod(F.xxhash64("key"), F.lit(PARTS)))
+    ranked = first_rows(first_rows(parts, "lang", "_part"), "lang")
     return ranked.join(totals, F.col("lang") == F.col("_lang")).select(
         "lang", F.col("rank").cast("long").alias("rank"), F.col("key").alias("phrase"), "a", "l", "r",
         F.col("_total").alias("n"), "score")
