@@ -106,6 +106,10 @@ def test_grid_settings(spark):
     assert training.forest(**settings[0]).getMaxDepth() == 30
 
 
+def test_split_counts_leave_room_for_rows():
+    assert training.forest().getMaxMemoryInMB() <= 128
+
+
 def test_grid_search(spark, fitted):
     settings = [{"trees": t, "depth": d, "min_split": 2, "class_weight": w}
                 for w in ("balanced", None) for t, d in ((3, 3), (6, None), (6, 2))]
