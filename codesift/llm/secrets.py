@@ -29,7 +29,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codesift.session import written
+from codesift.session import without_summary, written
 
 TRAINING_ROWS = 20_000
 TREES = 40
@@ -152,8 +152,8 @@ def trained(labelled: DataFrame, rows: int = TRAINING_ROWS, trees: int = TREES,
     draw = F.pmod(F.xxhash64("doc_id", "start"), F.lit(2**30)) / F.lit(float(2**30))
     sample = labelled.filter(draw < share[F.col("label")]).select(
         "label", _vector().alias("features"))
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed,
-                                  featureSubsetStrategy="sqrt").fit(written(sample, "sample"))
+    return without_summary(RandomForestClassifier(
+        numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(written(sample, "sample")))
 
 
 def scored(found: DataFrame, model) -> DataFrame:

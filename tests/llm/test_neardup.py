@@ -2,6 +2,8 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 
 from codesift.llm import neardup
 from codesift.llm.common import components, with_more_edges
@@ -100,6 +102,15 @@ def test_no_documents(none):
     assert neardup.near_duplicates(none).count() == 0
 
 
+def test_models_work_after_components(spark, make):
+    components(make([(1, 2), (2, 3)], "a long, b long"))
+    rows = make([(float(i % 2), float(i)) for i in range(20)], "label double, x double")
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    model = RandomForestClassifier(numTrees=2, maxDepth=2).fit(rows)
+    assert model.hasSummary and model.transform(rows).count() == model.transform(rows).filter(
+        "prediction is not null").count() == 20
+
+
 def test_components(make):
     edges = [(i, i + 1) for i in range(30)] + [(100, 200), (200, 150), (7, 7)]
     found = {tuple(r) for r in components(make(edges, "a long, b long")).collect()}

@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 from pyspark.ml import Transformer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from codesift.functions.text import tokens
@@ -110,6 +111,21 @@ def test_split_counts_leave_room_for_rows():
     assert training.forest().getMaxMemoryInMB() <= 128
 
 
+def test_models_of_a_session_that_has_observed(spark):
+    session = spark.newSession()
+    rows = session.range(60).select(
+        "id", (F.col("id") % 2).cast("double").alias("label"),
+        array_to_vector(F.array((F.col("id") % 2 + F.col("id") % 3).cast("double"))).alias("features"))
+    seen = Observation()
+    rows.observe(seen, F.count("*").alias("n")).collect()
+    forest = training.forest(trees=2, depth=2).fit(rows)
+    svm = training.calibrated_svm(rows, "id", folds=2, max_iter=2)
+    assert forest.hasSummary
+    assert evaluating.scored_test_set({"forest": forest, "svm": svm}, rows, "id").count() == 120
+    curve = training.learning_curve(rows, "id", training.forest(trees=2, depth=2), folds=2, fractions=(1.0,))
+    assert curve.count() == 2
+
+
 def test_grid_search(spark, fitted):
     settings = [{"trees": t, "depth": d, "min_split": 2, "class_weight": w}
                 for w in ("balanced", None) for t, d in ((3, 3), (6, None), (6, 2))]
