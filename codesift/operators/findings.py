@@ -15,8 +15,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from codesift import fixed_values as fixed
 from codesift.functions import text
@@ -30,6 +33,10 @@ FINDING_TYPE = (
 METADATA = ("type", "severity", "cwe", "owasp", "description", "remediation")
 # Characters that most rules hold and many lines do not.
 _MARKS = "(=+."
+# Slots of the table that tells which pieces of lines may be a rule's.
+SLOT_BITS = 20
+# Characters of lines worked on at a time within a task.
+CHARACTERS = 1_000_000
 
 
 def may_hit(value: Column, rules: list[Rule]) -> Column:
@@ -68,14 +75,69 @@ def numbered_lines(df: DataFrame, keys: list[str], code: str = "code") -> DataFr
     )
 
 
+def piece_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit key for every run of ``GRAM`` characters, and the number of its text."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    of = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
+    n = max(len(codes) - GRAM + 1, 0)
+    key = np.zeros(n, np.uint64)
+    for i in range(GRAM):
+        key = (key + codes[i: i + n]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    inside = of[:n] == of[GRAM - 1:]
+    return key[inside], of[:n][inside]
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _line_groups(texts: list[str]):
+    """Ranges of lines of about ``CHARACTERS`` characters."""
+    low = total = 0
+    for at, line in enumerate(texts, start=1):
+        total += len(line)
+        if total >= CHARACTERS or at == len(texts):
+            yield low, at
+            low, total = at, 0
+
+
 def _indexed_hits(lines: DataFrame, keys: list[str], index: DataFrame) -> DataFrame:
     """Hits of indexed rules: the pieces of a line meet those of the rules, and a pattern
-    runs only on lines that hold the text it needs."""
-    chars = F.split("content", "")
-    last = F.size(chars) - (GRAM - 1)
-    grams = F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(chars, i, GRAM), ""))
-    met = lines.filter(F.char_length("content") >= GRAM).withColumn(
-        "gram", F.explode(F.array_distinct(grams))).join(index, "gram")
+    runs only on lines that hold the text it needs.
+
+    Pieces of lines that no rule has go in the tasks, by a table of a bit a slot."""
+    def keyed(batches):
+        for batch in batches:
+            key, _ = piece_keys(batch.column("gram").to_pylist())
+            yield batch.append_column("_key", pa.array(key.view(np.int64)))
+
+    index = written(index.mapInArrow(
+        keyed, StructType([*index.schema.fields, StructField("_key", LongType())])), "pieces")
+
+    def placed(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_slots(batch.column(0).to_numpy().view(np.uint64)))], ["slot"])
+
+    # At most 2 ** SLOT_BITS rows, however many rules there are.
+    slots = index.select("_key").mapInArrow(placed, "slot long").distinct().toArrow()
+    table = np.zeros(2**SLOT_BITS, bool)
+    table[slots["slot"].to_numpy()] = True
+    shared = lines.sparkSession.sparkContext.broadcast(table)
+
+    def near(batches):
+        known = shared.value
+        for batch in batches:
+            texts = batch.column("content").to_pylist()
+            for low, high in _line_groups(texts):
+                key, of = piece_keys(texts[low:high])
+                here = known[_slots(key)]
+                found = np.unique(np.stack([of[here], key[here].view(np.int64)]), axis=1)
+                yield batch.take(pa.array(low + found[0])).append_column("_key", pa.array(found[1]))
+
+    met = lines.filter(F.char_length("content") >= GRAM).mapInArrow(
+        near, StructType([*lines.schema.fields, StructField("_key", LongType())])).join(index, "_key")
     holds = F.contains("content", "needed") & (F.col("regex").isNull() | F.expr("content rlike regex"))
     return met.filter(holds).select(*keys, "line", "content", "rule_id")
 

@@ -171,6 +171,13 @@ def test_nesting_keeps_files_without_findings(spark):
     assert nested == {"a": [(1, 5), (2, 1)], "b": []}
 
 
+def test_pieces_lie_within_a_text():
+    keys, of = findings.piece_keys(["abcde", "", "xyz", "\U0001F600bcde"])
+    assert of.tolist() == [0, 0, 3, 3]
+    assert keys[1] == keys[3] != keys[0] != keys[2] and len(set(keys.tolist())) == 3
+    assert findings.piece_keys(["ab", "cd"])[0].size == findings.piece_keys([])[0].size == 0
+
+
 def test_many_rules_are_met_by_an_index(spark, monkeypatch):
     import random
 
