@@ -57,8 +57,10 @@ FLOOR_SHARE = 0.5
 # Han with its extensions.
 UNPARTED = [(0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF),
             (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)]
-# Characters worked on at a time within a task.
+# Characters that are joined to one run of text within a task, and those of it worked on at a
+# time; a character takes some 100 bytes meanwhile.
 _CHUNK = 2_000_000
+_PIECE = 200_000
 _BLANK = np.uint32(32)
 
 
@@ -74,8 +76,11 @@ def _letters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return letter, inside, unparted & inside
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """N-gram keys of all texts, the text each comes from, and which texts have a letter."""
+def grams(texts: list[str], go_on: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """N-gram keys of all texts, the text each comes from, and which texts have a letter.
+
+    With ``go_on`` other texts stand before these: the first word begins with a blank too.
+    """
     letter, inside, unparted = _letters()
     lowered = [t.lower() for t in texts]
     lengths = np.fromiter((len(t) + 1 for t in lowered), np.int64, len(lowered))
@@ -88,6 +93,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     has[of[letter[codes]]] = True
     blank = ~inside[codes]
     keep = ~blank
+    keep[0] |= go_on
     keep[1:] |= ~blank[:-1]
     keep[-2:] = True
     codes = np.where(blank, _BLANK, codes)[keep]
@@ -133,6 +139,13 @@ def _chunks(texts, size: int = _CHUNK):
         yield low, len(texts)
 
 
+def _pieces(texts):
+    """Ranges of rows of about ``_PIECE`` characters, and whether each goes on in a chunk."""
+    for start, end in _chunks(texts):
+        for low, high in _chunks(texts[start:end], _PIECE):
+            yield start + low, start + high, low > 0
+
+
 @dataclass(frozen=True)
 class Filters:
     """The languages, their bit-sliced filters, their error rates, and the most common one.
@@ -159,8 +172,8 @@ def learn(docs: DataFrame) -> Filters:
     def count(batches):
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low, high in _chunks(texts):
-                keys, of, _ = grams(texts[low:high])
+            for low, high, go_on in _pieces(texts):
+                keys, of, _ = grams(texts[low:high], go_on)
                 which = np.array([at[x] for x in langs[low:high]], np.int64)[of]
                 for i in np.unique(which):
                     key, n = np.unique(keys[which == i], return_counts=True)
@@ -202,9 +215,9 @@ def learn(docs: DataFrame) -> Filters:
     return Filters(languages, masks, errors, common, np.zeros(len(languages)))
 
 
-def judge(texts: list[str], filters: Filters) -> tuple[list[str], np.ndarray, np.ndarray]:
+def judge(texts: list[str], filters: Filters, go_on: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language and score of each text, and whether it is foreign."""
-    keys, of, has = grams(texts)
+    keys, of, has = grams(texts, go_on)
     names, scores = np.full(len(texts), filters.common), np.zeros(len(texts))
     sizes = np.bincount(of, minlength=len(texts))
     if len(keys) and filters.languages:
@@ -254,8 +267,8 @@ def predicted(docs: DataFrame, filters: Filters) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             names, scores, odd = [], [np.empty(0)], [np.empty(0, bool)]
-            for low, high in _chunks(texts):
-                found, score, foreign = judge(texts[low:high], known)
+            for low, high, go_on in _pieces(texts):
+                found, score, foreign = judge(texts[low:high], known, go_on)
                 names += found
                 scores.append(score)
                 odd.append(foreign)

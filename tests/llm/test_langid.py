@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -7,7 +8,7 @@ import pytest
 
 from codesift.llm import langid
 
-from .conftest import odd_rows
+from .conftest import odd_rows, prose
 
 SYLLABLES = {"en": "th er ing ea st on", "de": "sch ung en ber ich zu", "fr": "eau oi tre que é en"}
 
@@ -144,3 +145,27 @@ def test_pairs_in_unparted_scripts():
     found = [("".join(chr(int(k) >> s & 0xFFFF) for s in (48, 32, 16, 0)).strip("\0"), int(o)) for k, o in zip(keys, of)]
     assert found == [("你好", 0), ("好世", 0), (" abc", 0), ("abcd", 0), ("bcd ", 0), ("กข", 2), (" ab你", 3), ("ab你 ", 3)]
     assert has.tolist() == [True] * 4
+
+
+def test_memory_of_a_batch_does_not_grow_with_its_texts():
+    texts = [prose(i % 20, 200) for i in range(2000)]
+    assert sum(map(len, texts)) > 3_000_000
+    filters = langid.Filters(["a", "b"], np.ones((1, 2**langid.SLOT_BITS), np.uint64), np.full(2, 0.1), 0, np.zeros(2))
+    langid.grams(texts[:1])
+    tracemalloc.start()
+    for low, high, go_on in langid._pieces(texts):
+        langid.judge(texts[low:high], filters, go_on)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000
+
+
+def test_pieces_of_a_chunk_give_its_grams(monkeypatch):
+    monkeypatch.setattr(langid, "_PIECE", 300)
+    texts = [prose(i, 10) for i in range(30)] + ["", " 1 ", "1st", "中文字 ab", "é"] + [prose(i, 20) for i in range(9)]
+    keys, of, has = langid.grams(texts)
+    parts = [(low, langid.grams(texts[low:high], go_on)) for low, high, go_on in langid._pieces(texts)]
+    assert len(parts) > 10
+    assert np.array_equal(keys, np.concatenate([p[0] for _, p in parts]))
+    assert np.array_equal(of, np.concatenate([low + p[1] for low, p in parts]))
+    assert np.array_equal(has, np.concatenate([p[2] for _, p in parts]))
