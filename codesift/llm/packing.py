@@ -27,7 +27,9 @@ from codesift.session import written
 
 SIZE = 2048
 END_ID = 1
-_KEPT_WORDS = 300_000
+# Words of the newer half of those a worker keeps; a word takes some 150 bytes, and a worker
+# outlives the stage.
+_KEPT_WORDS = 150_000
 
 
 class WordIds(dict):
