@@ -162,6 +162,26 @@ def test_templates_of_a_leaf_without_a_limit(make, monkeypatch):
     assert emptied(rounds=None) == emptied(rounds=50) == whole
 
 
+def test_the_query_takes_all_templates_of_a_leaf(spark, make, tmp_path):
+    """Five templates in one leaf, each with six lines that differ in a word; SQL says the same."""
+    import duckdb
+
+    from codesift.llm.queries import op8_line_dedup
+    from codesift.llm.twins import TWINS
+
+    starts = ["here came the old red fox", "there went a young blue bird", "nobody saw this great grey cat",
+              "he found some small green frog", "we met that very white horse"]
+    rows = [(5 * i + k, f"One day the moon {start} {prose(900 + 10 * k + i, 1)}")
+            for i in range(6) for k, start in enumerate(starts)]
+    make(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = op8_line_dedup(spark, str(tmp_path)).select("doc_id", "n_dropped", "kept").collect()
+    assert sorted(map(tuple, found)) == [(d, int(d > 4), d <= 4) for d in range(30)]
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    told = duck.execute(f"SELECT doc_id, n_dropped, kept FROM ({TWINS['op8_line_dedup']})").fetchall()
+    assert sorted(told) == sorted(map(tuple, found))
+
+
 def test_filters_lose_no_key(make):
     from pyspark.sql import functions as F
 
