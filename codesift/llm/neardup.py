@@ -8,7 +8,8 @@ the tree goes, and then by hash with a link between the parts. Within a region,
 in the tree's order share the longest prefixes and become candidates by their minhash
 estimate: first the ``NEAR`` before a class, of which the best partner is confirmed on the
 whole sets, then the others where they join components; at last, across the components
-found so far, the ``FAR`` before it, all confirmed. So a
+found so far, the ``FAR`` before it, all confirmed (but in crowded regions without any link by
+then). So a
 group of many near copies costs a few pairs for each, never all pairs of a region.
 
 Regions of more than ``FAR + 1`` classes have pairs that never were neighbours. Where such
@@ -331,6 +332,17 @@ def met_in_blocks(rows: DataFrame) -> DataFrame:
         F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
+def _without_quiet(rows: DataFrame) -> DataFrame:
+    """The rows but those of crowded regions in which nothing is linked so far.
+
+    Their far neighbours would be looked at for nothing: the exact join has all their pairs.
+    """
+    region = Window.partitionBy("region")
+    linked = F.max(F.col("component") != F.col("id")).over(region)
+    few = F.count("*").over(region) <= FAR + 1
+    return rows.withColumn("_open", linked | few).filter("_open").drop("_open")
+
+
 def with_rest_of_links(crowded: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
     """``label`` once the links that still join components of crowded regions are in it."""
     if crowded.isEmpty():
@@ -375,7 +387,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         others = others.join(label.select(F.col("id").alias(end), F.col("component").alias(f"_{end}")), end, "left")
     others = others.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
     label = with_more_edges(label, confirmed(others, sets))
-    wide = candidates(_labelled(rows, label), FAR).join(close, ["a", "b"], "left_anti")
+    wide = candidates(_without_quiet(_labelled(rows, label)), FAR).join(close, ["a", "b"], "left_anti")
     label = with_more_edges(label, confirmed(written(wide, "pairs"), sets))
     whole = with_rest_of_links(crowded, sets, label)
     named = classes.select("words_key", F.col("id").alias("_class"))
